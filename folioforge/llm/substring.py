@@ -7,8 +7,8 @@ So a repeated window's other occurrence meets that block with one of its own
 rolling ``BLOCK``-word windows.
 
 1. Probe: every rolling block hash goes, packed in arrays, to the part that
-   owns its hash; there an anchor is a hash that is a reference block
-   somewhere and occurs at least twice.
+   owns its hash; there a reference block is an anchor if another rolling
+   window meets it.
 2. Extend: a document with anchors builds the windows around them; their
    96-bit hashes go to the parts that own them, which name those that start
    earlier elsewhere.  Neighbouring windows join up to the maximal repeats.
@@ -40,7 +40,7 @@ from .textkernel import NON_SPACE, U64, Poly, Words, chunks
 WINDOW = 20
 BLOCK = 10
 #: UTF-8 bytes of text that one part deals with.
-PART_BYTES = 16 << 20
+PART_BYTES = 8 << 20
 _WORD, _GRAM, _OTHER = Poly(31), Poly(32), Poly(33)
 _LEAST = -(2**63)
 
@@ -141,17 +141,25 @@ def _probe(docs: DataFrame, parts: int) -> DataFrame:
 
 
 def _anchors(probes: DataFrame, parts: int) -> DataFrame:
-    """Entries whose block hash is a reference block and occurs more than once."""
+    """Reference blocks that a rolling block elsewhere meets.
+
+    Every repeated window holds a whole reference block of its own document,
+    and that block is met, so the windows around these are all candidates.
+    """
 
     def run(table: pa.Table) -> pa.Table:
         rows = table.to_pylist()
         opened = [_opened(r) for r in rows]
         hashes = np.concatenate([_unplanes(r["hashes"], 3, "<u4") for r in rows])
         aligned = np.concatenate([p % BLOCK == 0 for _, _, p in opened])
-        times = np.bincount(hashes, minlength=1 << 24)
-        block = np.zeros(1 << 24, bool)
-        block[hashes[aligned]] = True
-        return pa.Table.from_batches([_answers(block[hashes] & (times[hashes] > 1), opened, parts)])
+        order = np.argsort(hashes, kind="stable")
+        ranked = hashes[order]
+        alone = np.ones(len(ranked), bool)
+        alone[1:] = ranked[1:] != ranked[:-1]
+        alone[:-1] &= ranked[:-1] != ranked[1:]
+        repeated = np.zeros(len(ranked), bool)
+        repeated[order] = ~alone
+        return pa.Table.from_batches([_answers(aligned & repeated, opened, parts)])
 
     return probes.groupBy("part").applyInArrow(run, _ROW)
 
