@@ -77,17 +77,17 @@ class Runs:
 def dropped_lines(docs: DataFrame, batches: int = BATCHES, fan: int = FAN) -> DataFrame:
     """(doc, dropped array<int>): positions of the lines that an earlier document holds."""
     spark = docs.sparkSession
-    bounds = docs.where("doc IS NOT NULL").agg(F.percentile_approx("doc", [i / batches for i in range(1, batches)], 10_000).alias("q")).first()["q"] if batches > 1 else []
+    hashed, hashed_at = cut_at(line_hashes(docs), "line-hashes")  # the text is read once for all batches
+    bounds = hashed.agg(F.percentile_approx("doc", [i / batches for i in range(1, batches)], 10_000).alias("q")).first()["q"] if batches > 1 else []
     bounds = sorted(set(bounds or []))
     runs, out = Runs(spark, fan), None
     edges = [None, *bounds, None]
     for i, (low, high) in enumerate(zip(edges, edges[1:], strict=False)):
-        batch = docs
+        lines = hashed
         if low is not None:
-            batch = batch.where(F.col("doc") > F.lit(low))
+            lines = lines.where(F.col("doc") > F.lit(low))
         if high is not None:
-            batch = batch.where(F.col("doc") <= F.lit(high))
-        lines = line_hashes(batch)
+            lines = lines.where(F.col("doc") <= F.lit(high))
         firsts = lines.groupBy("hash").agg(F.min("doc").alias("owner"), F.max("doc").alias("last"))
         known = None
         for run in runs.all():
@@ -106,9 +106,8 @@ def dropped_lines(docs: DataFrame, batches: int = BATCHES, fan: int = FAN) -> Da
         gone = cut(gone, "dropped")
         drop_path(spark, place)
         out = gone if out is None else out.union(gone)
-    for level in runs.levels:
-        for _, path in level:
-            drop_path(spark, path)
+    for path in [hashed_at, *[p for level in runs.levels for _, p in level]]:
+        drop_path(spark, path)
     return out
 
 
@@ -117,7 +116,8 @@ def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "
     plain = docs.select(F.col(id_column).alias("doc"), F.col(text_column).alias("text"))
     gone = dropped_lines(plain, batches, fan).select(F.col("doc").alias("__doc"), F.col("dropped").alias("__dropped"))
     lines = F.split(F.coalesce(F.col(text_column), F.lit("")), "\n", -1)
-    joined = docs.join(gone, F.col(id_column) == F.col("__doc"), "left").withColumn("__lines", lines)
+    # A merge join at every size: the list of dropped lines grows with the input.
+    joined = docs.join(gone.hint("merge"), F.col(id_column) == F.col("__doc"), "left").withColumn("__lines", lines)
     kept = F.array_join(F.filter("__lines", lambda x, i: ~F.array_contains("__dropped", i)), "\n")
     n_dropped = F.coalesce(F.size("__dropped"), F.lit(0))
     text = F.when(F.col("__dropped").isNull(), F.coalesce(F.col(text_column), F.lit(""))).otherwise(kept)
