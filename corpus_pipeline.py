@@ -2,7 +2,8 @@
 
 Every stage is ``(spark, docs, sf_dir) -> DataFrame``; its result is written as
 Parquet and reread as the next stage's ``docs``.  All stages but the last
-return the columns of ``docs``.
+return the columns of ``docs``.  Joins with lists that grow with the input are
+merge joins at every size.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the classifier rejects go; those without an id stay."""
     verdict = toxicity.classify(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
     rejected = verdict.where("predicted = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.join(rejected, "doc_id", "left_anti").select(docs.columns)
+    return docs.join(rejected.hint("merge"), "doc_id", "left_anti").select(docs.columns)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,13 +34,13 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near copies the document with the smallest id stays."""
     kept = simhash.near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").select(docs.columns)
+    return docs.join(kept.hint("merge"), "doc_id", "left_semi").select(docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark window go."""
     hit = winnow.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where("n_hit > 0").select("doc_id").distinct()
-    return docs.join(hit, "doc_id", "left_anti").select(docs.columns)
+    return docs.join(hit.hint("merge"), "doc_id", "left_anti").select(docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -238,7 +238,8 @@ def page_records(pages: DataFrame, id_column: str = "page_id", uri_column: str =
     shared = marked.where((F.col("size") >= LEAST_SHARED) & F.col("id").isNotNull()).select("id", "digest")
     firsts = shared.groupBy("digest").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last").select("digest", "first")
     revisits = shared.distinct().join(firsts, "digest").where("id > first").select(F.col("id").alias("rid"), F.col("digest").alias("rdigest"), "first")
-    joined = marked.join(revisits, (F.col("id") == F.col("rid")) & (F.col("digest") == F.col("rdigest")), "left")
+    # A merge join at every size: the list of revisits grows with the input.
+    joined = marked.join(revisits.hint("merge"), (F.col("id") == F.col("rid")) & (F.col("digest") == F.col("rdigest")), "left")
     urn = lambda c: F.concat(F.lit("<urn:page:"), c.cast("string"), F.lit(">"))
     again = F.col("first").isNotNull()
     assert kind.simpleString() in ("bigint", "int", "string")
