@@ -45,7 +45,7 @@ class WordBpe:
     byte b at the end of the word.
     """
 
-    def __init__(self, path: str, cached_words: int = 250_000):
+    def __init__(self, path: str, cached_words: int = 400_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -78,7 +78,6 @@ class WordBpe:
             before = both
             self.merged[one, two] = both
             self.left[both], self.right[both] = one, two
-        self.decimal = [str(i) for i in range(self.size)]
         self.length = {i: len(x) for i, x in self.spelled.items()}
         self.widest = max(self.length.values())
         self.shorter = {i: self._prefix(x) for i, x in self.spelled.items()}
@@ -89,15 +88,21 @@ class WordBpe:
         self.pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
         #: The same on lower-cased ASCII texts, where it is faster.
         self.ascii_pattern = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t\n\v\f\ra-z0-9]+")
+        #: And on Latin-1 texts: their letters and numbers are listed.
+        letters, numbers = ("".join(regex.escape(chr(c)) for c in range(256) if unicodedata.category(chr(c))[0] == k) for k in "LN")
+        self.latin_pattern = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\s{letters}{numbers}]+")
         self.special_pattern = regex.compile("(" + "|".join(map(regex.escape, self.specials)) + ")") if self.specials else None
         self.compatible: dict[int, bool] = {}
         self.cached_words, self.young, self.old = cached_words, {}, {}
-        # Offset table for decoding: every token is stored with a space before it.
-        pieces = [(" " + tokens.get(i, "")).encode() for i in range(self.size)]
-        self.offsets = np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
-        self.blob = np.frombuffer(b"".join(pieces), np.uint8)
+        # Offset tables for decoding: every entry is stored with a space before it.
+        self.strings, self.numbers = (self._table([" " + x for x in entries]) for entries in ([tokens.get(i, "") for i in range(self.size)], map(str, range(self.size))))
         for text, i in self.specials.items():
-            self.young[text, ] = self._entry([i])
+            self.young[text,] = array("I", [i]).tobytes()
+
+    @staticmethod
+    def _table(entries: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        pieces = [e.encode() for e in entries]
+        return np.frombuffer(b"".join(pieces), np.uint8), np.concatenate([[0], np.cumsum([len(p) for p in pieces])])
 
     # -- pair compatibility --------------------------------------------------
     def _pair_ok(self, one: int, two: int) -> bool:
@@ -164,39 +169,42 @@ class WordBpe:
                 at -= length[last]
                 token = shorter[last]
 
-    @staticmethod
-    def _symbols(word: str) -> str:
-        s = word if word.isascii() else word.encode().decode("latin-1")
-        return s[:-1] + chr(ord(s[-1]) + 256)
-
-    def encode_word(self, word: str) -> list[int]:
-        s = self._symbols(word)
-        found = [t for _, t in self.automaton.iter_long(s)]
-        known, size, a = self.compatible, self.size, -1
-        for n, b in enumerate(found):
-            if a >= 0:
-                ok = known.get(a * size + b)
-                if ok is None:
-                    ok = self._ok(a, b)
-                if not ok:
-                    return self._back_up(s, found[:n])
-            a = b
-        return found
-
-    def _entry(self, ids: list[int]) -> tuple[bytes, str]:
-        decimal = self.decimal
-        return array("I", ids).tobytes(), " ".join([decimal[i] for i in ids])
-
-    def _look_up(self, words) -> None:
-        """Fill the cache for the words that it lacks (two generations, bounded)."""
-        young, old, entry, encode = self.young, self.old, self._entry, self.encode_word
-        for w in words:
-            young[w] = old[w] if w in old else entry(encode(w))
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """Packed ids of distinct words, all at once.
+
+        The longest matches of all words come from one pass of the automaton;
+        words whose neighbouring matches are all compatible are done, the
+        others are backed up from their first incompatible pair.
+        """
+        data = np.frombuffer("\n".join([*words, ""]).encode(), np.uint8).astype("<u2")
+        stops = np.flatnonzero(data == 0x0A)
+        begins = np.append(0, stops[:-1] + 1)
+        data[stops - 1] += 256  # a word's last symbol
+        data[stops] = 0x2FF  # stands in no token
+        text = data.tobytes().decode("utf-16-le")
+        found = np.array(list(self.automaton.iter_long(text)), np.int64)
+        ends, ids = found[:, 0], found[:, 1]
+        word = np.searchsorted(stops, ends)
+        keys = ids[:-1] * self.size + ids[1:]
+        inside = word[1:] == word[:-1]
+        pairs, where = np.unique(keys[inside], return_inverse=True)
+        known, ok = self.compatible, []
+        for key in pairs.tolist():
+            good = known.get(key)
+            ok.append(self._ok(*divmod(key, self.size)) if good is None else good)
+        broken = np.flatnonzero(inside)[~np.array(ok, bool)[where]] if len(pairs) else np.zeros(0, np.int64)
+        bounds = np.searchsorted(word, np.arange(len(words) + 1))
+        packed, edges = ids.astype("<u4").tobytes(), (4 * bounds).tolist()
+        out = [packed[i:j] for i, j in zip(edges, edges[1:], strict=False)]
+        bad, first = np.unique(word[broken], return_index=True)
+        for w, at, i, j in zip(bad.tolist(), broken[first].tolist(), begins[bad].tolist(), stops[bad].tolist(), strict=True):
+            out[w] = array("I", self._back_up(text[i:j], ids[bounds[w] : at + 1].tolist())).tobytes()
+        return out
 
     def _turn(self) -> None:
+        """Two generations of cached words: the older one goes when the younger is full."""
         if len(self.young) > self.cached_words:
-            special = {k: v for k, v in self.young.items() if isinstance(k, tuple)}
-            self.old, self.young = self.young, special
+            self.old, self.young = self.young, {k: v for k, v in self.young.items() if isinstance(k, tuple)}
 
     def words(self, text: str) -> list:
         """The pre-tokens of a text, special tokens as one-element tuples."""
@@ -205,33 +213,57 @@ class WordBpe:
         for part in parts:
             if part in self.specials:
                 out.append((part,))
-            elif part:
-                if part.isascii():
-                    out += self.ascii_pattern.findall(part.lower())
-                else:  # lower-casing is per character: no final-sigma rule
-                    part = unicodedata.normalize("NFC", part).replace("Σ", "σ")
-                    out += self.pattern.findall(part.lower())
+            elif part.isascii():
+                out += self.ascii_pattern.findall(part.lower())
+            else:
+                try:  # Latin-1 texts are composed already and have a faster pattern
+                    part.encode("latin-1")
+                    out += self.latin_pattern.findall(part.lower())
+                except UnicodeEncodeError:  # lower-casing is per character: no final-sigma rule
+                    out += self.pattern.findall(unicodedata.normalize("NFC", part).replace("Σ", "σ").lower())
         return out
 
-    def encode(self, text: str | None) -> tuple[bytes, str]:
-        """Ids as little-endian unsigned 32-bit integers, and in decimal joined by spaces."""
-        words = self.words(text or "")
+    def encode_batch(self, texts: list[str | None]) -> list[bytes]:
+        """Ids of each text as little-endian unsigned 32-bit integers."""
         self._turn()
-        got = list(map(self.young.get, words))
-        if None in got:
-            self._look_up({w for w, g in zip(words, got, strict=True) if g is None})
-            got = list(map(self.young.get, words))
-        return b"".join([g[0] for g in got]), " ".join([g[1] for g in got])
+        words = [self.words(t) if t else [] for t in texts]
+        young, old = self.young, self.old
+        missing = set().union(*words).difference(young)
+        fresh = []
+        for w in missing:
+            if (ids := old.get(w)) is not None:
+                young[w] = ids
+            else:
+                fresh.append(w)
+        if fresh:
+            young.update(zip(fresh, self.encode_words(fresh), strict=True))
+        get = young.__getitem__
+        return [b"".join(map(get, w)) for w in words]
+
+    def encode(self, text: str | None) -> np.ndarray:
+        return np.frombuffer(self.encode_batch([text])[0], "<u4")
 
     # -- decoding ------------------------------------------------------------
-    def decode(self, ids: np.ndarray) -> bytes:
-        """UTF-8 bytes of the token strings joined by one space."""
+    @staticmethod
+    def _gather(table: tuple[np.ndarray, np.ndarray], ids: np.ndarray) -> bytes:
+        """The ids' entries of an offset table one after the other, without the first blank."""
         if not len(ids):
             return b""
-        begin, size = self.offsets[ids], self.offsets[ids.astype(np.int64) + 1] - self.offsets[ids]
+        blob, offsets = table
+        ids = ids.astype(np.int64)
+        begin = offsets[ids]
+        size = offsets[ids + 1] - begin
         ends = np.cumsum(size)
         at = np.arange(ends[-1]) + np.repeat(begin - (ends - size), size)
-        return self.blob[at].tobytes()[1:]
+        return blob[at].tobytes()[1:]
+
+    def decode(self, ids: np.ndarray) -> bytes:
+        """UTF-8 bytes of the token strings joined by one space."""
+        return self._gather(self.strings, ids)
+
+    def decimal(self, ids: np.ndarray) -> bytes:
+        """The ids in decimal, joined by one space."""
+        return self._gather(self.numbers, ids)
 
 
 @functools.cache
@@ -247,9 +279,9 @@ def encode_documents(docs: DataFrame, tokenizer_path: str, id_column: str = "doc
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(tokenizer_path)
         for batch in batches:
-            for at in range(0, batch.num_rows, 512):
-                part = batch.slice(at, 512)
-                packed = [bpe.encode(t.as_py())[0] for t in part.column(1)]
+            for at in range(0, batch.num_rows, 128):
+                part = batch.slice(at, 128)
+                packed = bpe.encode_batch(part.column(1).to_pylist())
                 sizes = np.array([len(p) // 4 for p in packed], np.int64)
                 flat = pa.array(np.frombuffer(b"".join(packed), "<i4"))
                 ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), flat)
@@ -286,13 +318,14 @@ def digest_documents(docs: DataFrame, tokenizer_path: str, id_column: str = "doc
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(tokenizer_path)
         for batch in batches:
-            sizes, ids_sha, decoded_sha = [], [], []
-            for t in batch.column(1):
-                packed, decimal = bpe.encode(t.as_py())
-                ids = np.frombuffer(packed, "<u4")
-                sizes.append(len(ids))
-                ids_sha.append(hashlib.sha256(decimal.encode()).hexdigest())
-                decoded_sha.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
-            yield pa.RecordBatch.from_pydict({id_column: batch.column(0), "n_tokens": pa.array(sizes, pa.int64()), "ids_sha256": pa.array(ids_sha, pa.string()), "decoded_sha256": pa.array(decoded_sha, pa.string())})
+            for at in range(0, batch.num_rows, 128):
+                part = batch.slice(at, 128)
+                sizes, ids_sha, decoded_sha = [], [], []
+                for packed in bpe.encode_batch(part.column(1).to_pylist()):
+                    ids = np.frombuffer(packed, "<u4")
+                    sizes.append(len(ids))
+                    ids_sha.append(hashlib.sha256(bpe.decimal(ids)).hexdigest())
+                    decoded_sha.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
+                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(decoded_sha, pa.string())], names=[id_column, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select(id_column, text_column).mapInArrow(run, f"`{id_column}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")

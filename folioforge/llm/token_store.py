@@ -27,6 +27,8 @@ from .common import scratch, spread, text_bytes
 
 END_ID = 2
 FILE_BYTES = 32 << 20
+#: So many file totals (under 100 bytes each) may be broadcast.
+FEW_FILES = 100_000
 ORC = {"compression": "zstd", "orc.stripe.size": str(8 << 20), "orc.row.index.stride": "1000", "orc.create.index": "true", "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01"}
 
 
@@ -40,9 +42,9 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, folder: str | None = None
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe, end, before = tokenizer(tokenizer_path), np.array([end_id], "<u4").tobytes(), 0
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                part = batch.slice(at, 256)
-                packed = [bpe.encode(t.as_py())[0] + end for t in part.column(1)]
+            for at in range(0, batch.num_rows, 128):
+                part = batch.slice(at, 128)
+                packed = [p + end for p in bpe.encode_batch(part.column(1).to_pylist())]
                 sizes = np.array([len(p) // 4 for p in packed], np.int64)
                 stops = np.cumsum(sizes)
                 ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], stops]), pa.int32()), pa.array(np.frombuffer(b"".join(packed), "<i4")))
@@ -59,6 +61,9 @@ def read_tokens(spark: SparkSession, folder: str) -> DataFrame:
     # One row a file: the totals need no ids (column pruning).
     totals = rows.groupBy("file").agg(F.sum("n_tokens").alias("total"), F.min(F.coalesce("doc_id", F.lit(-(2**63)))).alias("least"))
     before = totals.select("file", F.coalesce(F.sum("total").over(Window.orderBy("least", "file").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("base"))
+    # Broadcast the totals only while there are few files, however large the files are.
+    if totals.count() <= FEW_FILES:
+        before = F.broadcast(before)
     return rows.join(before, "file").select("doc_id", (F.col("base") + F.col("first")).alias("start"), "n_tokens", "ids")
 
 

@@ -138,7 +138,7 @@ def test_bpe_backtracks_like_the_merges():
     rng = random.Random(9)
     for _ in range(1500):
         text = "".join(rng.choice("abcdeehiinorstuyéß'0 !") for _ in range(rng.randint(1, 60)))
-        assert mine.encode(text)[1] == " ".join(map(str, t.encode(text, add_special_tokens=False).ids)), text
+        assert mine.encode(text).tolist() == t.encode(text, add_special_tokens=False).ids, text
 
 
 def test_token_store(spark, docs):
