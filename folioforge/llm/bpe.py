@@ -90,7 +90,7 @@ class WordBpe:
         self.ascii_pattern = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t\n\v\f\ra-z0-9]+")
         #: And on Latin-1 texts: their letters and numbers are listed.
         letters, numbers = ("".join(regex.escape(chr(c)) for c in range(256) if unicodedata.category(chr(c))[0] == k) for k in "LN")
-        self.latin_pattern = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\s{letters}{numbers}]+")
+        self.latin_pattern = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^ \t\n\v\f\r\x85\xa0{letters}{numbers}]+")
         self.special_pattern = regex.compile("(" + "|".join(map(regex.escape, self.specials)) + ")") if self.specials else None
         self.compatible: dict[int, bool] = {}
         self.cached_words, self.young, self.old = cached_words, {}, {}
