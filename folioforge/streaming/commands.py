@@ -19,14 +19,12 @@ def latest(commands: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 def wait_for_reply(commands: DataFrame, key: str, time: str, t0: float, timeout: float, expected: list[str] | None = None) -> DataFrame:
     """(key, action, replied): the first accepted command after ``t0`` within the timeout.
 
-    ``time`` is event time in seconds.  State for a key is one flag; a key
-    that has answered stays silent until its state expires.
+    ``time`` is event time in seconds.  State for a key is one flag: a key that
+    has answered stays silent.  There is no processing-time timer, which would
+    keep a drained query running for ever.
     """
 
     def run(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
         rows = pd.concat(list(frames))
         if state.exists:
             return
@@ -36,11 +34,10 @@ def wait_for_reply(commands: DataFrame, key: str, time: str, t0: float, timeout:
         if len(rows):
             hit = rows.sort_values(time).iloc[0]
             state.update((True,))
-            state.setTimeoutDuration(max(1, int(timeout * 1000)))
             yield pd.DataFrame({key: [k[0]], "action": [hit["action"]], "replied": [float(hit[time])]})
 
     kind = commands.schema[key].dataType.simpleString()
-    return commands.groupBy(key).applyInPandasWithState(run, f"{key} {kind}, action string, replied double", "answered boolean", "append", GroupStateTimeout.ProcessingTimeTimeout)
+    return commands.groupBy(key).applyInPandasWithState(run, f"{key} {kind}, action string, replied double", "answered boolean", "append", GroupStateTimeout.NoTimeout)
 
 
 def throttle(steps: DataFrame, key: str, every: int, seconds: float) -> DataFrame:
