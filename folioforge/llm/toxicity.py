@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from .common import labelled_sample, with_decision
 from .textkernel import ALNUM_LOWER, LOWER, U64, Poly, Words, chunks, mix, utf8
 
-SAMPLE = 12_000
+SAMPLE = 8_000
 TABLE = 1 << 20
 KEPT = 4_000
 THRESHOLD = 0.5
@@ -96,42 +96,75 @@ class ToxicityModel:
         return self.score(*utf8(pa.array(texts, pa.string())))
 
 
-def _differences(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Rows of feature differences between the sentences and their counterfactuals."""
-    pairs = [p for t in texts for p in counterfactuals(t)]
-    if not pairs:
-        return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0)
-    own, swapped = ({*zip(*map(np.ndarray.tolist, features(*utf8(pa.array([p[i] for p in pairs])))), strict=True)} for i in (0, 1))
-    cells = [(r, f, 1.0) for r, f in own - swapped] + [(r, f, -1.0) for r, f in swapped - own]
-    row, feature, sign = zip(*sorted(cells), strict=True) if cells else ((), (), ())
-    return np.array(row, np.int64), np.array(feature, np.int64), np.array(sign)
+@dataclass
+class Examples:
+    """Sparse training rows: features of each document, and of its sentence pairs."""
 
+    labels: np.ndarray
+    sizes: np.ndarray  # features of each document
+    feature: np.ndarray
+    pair: np.ndarray  # number of the pair of each difference
+    changed: np.ndarray  # feature that differs
+    sign: np.ndarray  # 1 only in the sentence, -1 only in its counterfactual
 
-def fit(texts: list[str], labels: np.ndarray, fairness: float = FAIRNESS, steps: int = 300, ridge: float = 3e-4, kept: int = KEPT) -> ToxicityModel:
-    """Train on whole texts; deterministic."""
-    y, n = np.asarray(labels, float), len(texts)
+
+def _differences(text: str) -> list[tuple[int, int, int]]:
+    """(pair, feature, sign) of the sentences with identity terms of one text."""
+    pairs = list(counterfactuals(text))
+    if not pairs:
+        return []
+    own, swapped = ({*zip(*map(np.ndarray.tolist, features(*utf8(pa.array([p[i] for p in pairs])))), strict=True)} for i in (0, 1))
+    return sorted([(r, f, 1) for r, f in own - swapped] + [(r, f, -1) for r, f in swapped - own])
+
+
+def example_rows(ids: pa.Array, buf: np.ndarray, offsets: np.ndarray) -> tuple[list[bytes], list[bytes]]:
+    """For each text its features (int32) and its differences (int32 triples)."""
+    doc, feature = features(buf, offsets)
+    at = 4 * np.searchsorted(doc, np.arange(len(offsets)))
+    packed = feature.astype("<i4").tobytes()
+    texts = [buf[a:b].tobytes().decode() for a, b in zip(offsets[:-1], offsets[1:], strict=True)]
+    return [packed[a:b] for a, b in zip(at[:-1], at[1:], strict=True)], [np.array(_differences(t), "<i4").tobytes() for t in texts]
+
+
+def examples(labels: np.ndarray, packed: list[bytes], differences: list[bytes]) -> Examples:
+    sizes = np.array([len(p) // 4 for p in packed], np.int64)
+    triples, pair, before = [], [], 0
+    for d in differences:
+        if d:
+            t = np.frombuffer(d, "<i4").reshape(-1, 3)
+            triples.append(t)
+            pair.append(t[:, 0] + before)
+            before += int(t[:, 0].max()) + 1
+    t = np.concatenate(triples) if triples else np.zeros((0, 3), np.int32)
+    return Examples(np.asarray(labels, float), sizes, np.frombuffer(b"".join(packed), "<i4"), np.concatenate(pair).astype(np.int64) if pair else np.zeros(0, np.int64), t[:, 1], t[:, 2].astype(float))
+
+
+def fit_examples(x: Examples, fairness: float = FAIRNESS, steps: int = 300, ridge: float = 3e-4, kept: int = KEPT) -> ToxicityModel:
+    """Train; deterministic.  Working memory is a few times the features' four bytes each."""
+    y, n = x.labels, len(x.labels)
     if not n or y.min() == y.max():
         mean = float(y.mean()) if n else 0.0
         return ToxicityModel(np.zeros(TABLE), float(np.log((mean + 1e-3) / (1 - mean + 1e-3))))
-    docs, feats = [], []
-    for lo in range(0, n, 500):
-        d, f = features(*utf8(pa.array(texts[lo : lo + 500], pa.string())))
-        docs.append((d + lo).astype(np.int32))
-        feats.append(f.astype(np.int32))
-    doc, feature = np.concatenate(docs), np.concatenate(feats)
-    del docs, feats
-    total = np.bincount(feature, minlength=TABLE)
-    positive = np.bincount(feature[y[doc] == 1], minlength=TABLE)
+    edges = np.concatenate([[0], np.cumsum(x.sizes)])
+    total, positive = np.zeros(TABLE, np.int64), np.zeros(TABLE, np.int64)
+    for i in range(n):
+        own = x.feature[edges[i] : edges[i + 1]]
+        total[own] += 1
+        if y[i] == 1:
+            positive[own] += 1
     odds = np.log((positive + 0.5) / (y.sum() + 1) / ((total - positive + 0.5) / (n - y.sum() + 1))) * np.sqrt(total)
-    row, cell, sign = _differences(texts)
     often = np.flatnonzero(total >= min(3, max(1, n // 100)))
     top = often[np.argsort(-np.abs(odds[often]), kind="stable")[:kept]]
-    slot = np.full(TABLE, -1)
+    slot = np.full(TABLE, -1, np.int32)
     slot[top] = np.arange(len(top))
-    mask = slot[feature] >= 0
-    doc, feature = doc[mask], slot[feature[mask]]
-    mask = slot[cell] >= 0
-    row, cell, sign = row[mask], slot[cell[mask]], sign[mask]
+    docs, cells = [], []
+    for lo in range(0, n, 500):
+        own = slot[x.feature[edges[lo] : edges[min(n, lo + 500)]]]
+        docs.append(np.repeat(np.arange(lo, min(n, lo + 500)), x.sizes[lo : lo + 500])[own >= 0])
+        cells.append(own[own >= 0])
+    doc, feature = np.concatenate(docs), np.concatenate(cells)
+    cell = slot[x.changed]
+    row, sign, cell = x.pair[cell >= 0], x.sign[cell >= 0], cell[cell >= 0]
     pairs = int(row.max()) + 1 if len(row) else 0
     k = len(top)
     w, first, second = np.zeros(k + 1), np.zeros(k + 1), np.zeros(k + 1)
@@ -150,11 +183,28 @@ def fit(texts: list[str], labels: np.ndarray, fairness: float = FAIRNESS, steps:
     return ToxicityModel(weights, float(w[k]))
 
 
+def fit(texts: list[str], labels: np.ndarray, fairness: float = FAIRNESS) -> ToxicityModel:
+    """Train on whole texts in memory."""
+    return fit_examples(examples(labels, *example_rows(None, *utf8(pa.array(texts, pa.string())))), fairness)
+
+
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_column: str = "doc_id", text_column: str = "text") -> ToxicityModel:
-    rows = labelled_sample(docs, labels, "toxic", sample, id_column, text_column).toArrow()
-    order = np.lexsort((rows["text"].to_pylist(), rows["id"].to_numpy())) if rows.num_rows else []
-    rows = rows.take(pa.array(order, pa.int64()))
-    return fit(rows["text"].to_pylist(), rows["label"].to_numpy())
+    """Fit on a bounded sample; its features, not its texts, come to the driver."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            row = 0
+            for ids, buf, offsets in chunks([batch], ["id", "text"], 1 << 20):
+                packed, differences = example_rows(ids, buf, offsets)
+                yield pa.RecordBatch.from_arrays([ids, batch.column(2).slice(row, len(ids)), pa.array(packed, pa.binary()), pa.array(differences, pa.binary())], names=["id", "label", "packed", "differences"])
+                row += len(ids)
+
+    rows = labelled_sample(docs, labels, "toxic", sample, id_column, text_column)
+    got = rows.mapInArrow(run, f"id {rows.schema['id'].dataType.simpleString()}, label int, packed binary, differences binary").toArrow()
+    ids, packed, differences, label = (got[c].to_pylist() for c in ("id", "packed", "differences", "label"))
+    del got
+    order = sorted(range(len(ids)), key=lambda i: (ids[i], packed[i]))
+    return fit_examples(examples(np.array([label[i] for i in order], float), [packed[i] for i in order], [differences[i] for i in order]))
 
 
 def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, sample: int = SAMPLE, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
