@@ -41,6 +41,8 @@ WINDOW = 20
 BLOCK = 10
 #: UTF-8 bytes of text that one part deals with.
 PART_BYTES = 8 << 20
+#: Bytes of text that are hashed at a time; working memory is some 50 times this.
+CHUNK_BYTES = 2 << 20
 _WORD, _GRAM, _OTHER = Poly(31), Poly(32), Poly(33)
 _LEAST = -(2**63)
 
@@ -127,7 +129,7 @@ def _probe(docs: DataFrame, parts: int) -> DataFrame:
     """Every rolling block of every document, to the part of its hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, buf, offsets in chunks(batches, ["_id", "_text"], 8 << 20):
+        for ids, buf, offsets in chunks(batches, ["_id", "_text"], CHUNK_BYTES):
             words = Words(buf, offsets, NON_SPACE, _WORD)
             starts = words.whole(BLOCK)
             doc = words.text_of(starts)
@@ -183,7 +185,7 @@ def _marks(rows: list[dict]) -> dict[int, np.ndarray]:
 def _texts(table: pa.Table) -> Iterator[tuple[pa.Array, np.ndarray, Words]]:
     for batch in table.to_batches():
         row = 0
-        for ids, buf, offsets in chunks([batch], ["_id", "_text"], 8 << 20):
+        for ids, buf, offsets in chunks([batch], ["_id", "_text"], CHUNK_BYTES):
             yield batch.column("_name").slice(row, len(ids)), _ids(ids), Words(buf, offsets, NON_SPACE, _WORD)
             row += len(ids)
 
