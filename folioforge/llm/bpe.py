@@ -17,7 +17,6 @@ from __future__ import annotations
 import functools
 import hashlib
 import json
-import re
 import unicodedata
 from array import array
 from collections.abc import Iterator
@@ -28,6 +27,8 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
 
+from .textkernel import U64, Poly, positions_in_group
+
 _SUFFIX = "</w>"
 
 
@@ -38,6 +39,66 @@ def _byte_letters() -> list[str]:
     return [chr(b) if b in plain else chr(next(spare)) for b in range(256)]
 
 
+class WordTable:
+    """Encoded words in arrays: an open-addressing table from word hashes to (units, ids).
+
+    Look-ups are whole-array operations; a full table is emptied.
+    """
+
+    def __init__(self, most: int):
+        self.most, self.mask = most, (1 << (2 * most).bit_length()) - 1
+        self.clear()
+
+    def clear(self) -> None:
+        self.entry, self.key = np.full(self.mask + 1, -1, np.int32), np.zeros(self.mask + 1, U64)
+        self.count = 0
+        self.unit_ends, self.id_ends = np.zeros(self.most + 1, np.int64), np.zeros(self.most + 1, np.int64)
+        self.units, self.ids = np.zeros(1 << 16, np.uint16), np.zeros(1 << 16, np.uint32)
+
+    def find(self, keys: np.ndarray) -> np.ndarray:
+        """Entry of each key, or -1."""
+        out, todo, at = np.full(len(keys), -1, np.int32), np.arange(len(keys)), (keys & U64(self.mask)).astype(np.int64)
+        while len(todo):
+            entry = self.entry[at]
+            used = entry >= 0
+            same = used & (self.key[at] == keys[todo])
+            out[todo[same]] = entry[same]
+            on = used & ~same
+            todo, at = todo[on], (at[on] + 1) & self.mask
+        return out
+
+    def add(self, keys: np.ndarray, words: list[np.ndarray], ids: list[bytes]) -> None:
+        """Add distinct new keys; the caller keeps their number within ``most``."""
+        first, n = self.count, len(keys)
+        for name, ends, new in (("units", self.unit_ends, np.concatenate(words)), ("ids", self.id_ends, np.frombuffer(b"".join(ids), "<u4"))):
+            begin, blob = int(ends[first]), getattr(self, name)
+            if begin + len(new) > len(blob):
+                blob = np.concatenate([blob, np.zeros(max(len(blob), len(new)), blob.dtype)])
+                setattr(self, name, blob)
+            blob[begin : begin + len(new)] = new
+        self.unit_ends[first + 1 : first + n + 1] = self.unit_ends[first] + np.cumsum([len(w) for w in words])
+        self.id_ends[first + 1 : first + n + 1] = self.id_ends[first] + np.cumsum([len(p) // 4 for p in ids])
+        self.count += n
+        todo, at = np.arange(n), (keys & U64(self.mask)).astype(np.int64)
+        while len(todo):
+            free = np.flatnonzero(self.entry[at] < 0)
+            _, one = np.unique(at[free], return_index=True)  # of those that want one place the first gets it
+            placed = free[one]
+            self.entry[at[placed]], self.key[at[placed]] = first + todo[placed], keys[todo[placed]]
+            rest = np.ones(len(todo), bool)
+            rest[placed] = False
+            todo, at = todo[rest], (at[rest] + 1) & self.mask
+
+
+def _classes() -> np.ndarray:
+    """0 blank, 1 letter, 2 number, 3 other for each 16-bit code unit."""
+    out = np.full(1 << 16, 3, np.uint8)
+    every = "".join(chr(c) for c in range(1 << 16) if not 0xD800 <= c < 0xE000)
+    for kind, pattern in enumerate((r"\p{White_Space}", r"\p{L}", r"\p{N}")):
+        out[[ord(c) for c in regex.findall(pattern, every)]] = kind
+    return out
+
+
 class WordBpe:
     """One tokenizer file of the kind "BPE with word ends".
 
@@ -45,7 +106,7 @@ class WordBpe:
     byte b at the end of the word.
     """
 
-    def __init__(self, path: str, cached_words: int = 400_000):
+    def __init__(self, path: str, cached_words: int = 700_000):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -86,18 +147,12 @@ class WordBpe:
             self.automaton.add_word(s, i)
         self.automaton.make_automaton()
         self.pattern = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\p{White_Space}\p{L}\p{N}]+")
-        #: The same on lower-cased ASCII texts, where it is faster.
-        self.ascii_pattern = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-z]+|[0-9]|[^ \t\n\v\f\ra-z0-9]+")
-        #: And on Latin-1 texts: their letters and numbers are listed.
-        letters, numbers = ("".join(regex.escape(chr(c)) for c in range(256) if unicodedata.category(chr(c))[0] == k) for k in "LN")
-        self.latin_pattern = re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^ \t\n\v\f\r\x85\xa0{letters}{numbers}]+")
         self.special_pattern = regex.compile("(" + "|".join(map(regex.escape, self.specials)) + ")") if self.specials else None
         self.compatible: dict[int, bool] = {}
-        self.cached_words, self.young, self.old = cached_words, {}, {}
+        self.table, self.classes, self.poly = WordTable(cached_words), _classes(), Poly(61)
+        self.unit_values = np.random.default_rng(62).integers(0, 2**64, 1 << 16, dtype=U64)
         # Offset tables for decoding: every entry is stored with a space before it.
         self.strings, self.numbers = (self._table([" " + x for x in entries]) for entries in ([tokens.get(i, "") for i in range(self.size)], map(str, range(self.size))))
-        for text, i in self.specials.items():
-            self.young[text,] = array("I", [i]).tobytes()
 
     @staticmethod
     def _table(entries: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -201,44 +256,113 @@ class WordBpe:
             out[w] = array("I", self._back_up(text[i:j], ids[bounds[w] : at + 1].tolist())).tobytes()
         return out
 
-    def _turn(self) -> None:
-        """Two generations of cached words: the older one goes when the younger is full."""
-        if len(self.young) > self.cached_words:
-            self.old, self.young = self.young, {k: v for k, v in self.young.items() if isinstance(k, tuple)}
-
-    def words(self, text: str) -> list:
-        """The pre-tokens of a text, special tokens as one-element tuples."""
-        parts = self.special_pattern.split(text) if self.special_pattern and "<|" in text else [text]
-        out: list = []
-        for part in parts:
+    @staticmethod
+    def _normal(text: str) -> str:
+        """NFC and lower case; lower-casing is per character (no final-sigma rule)."""
+        if not text.isascii():
+            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+        return text.lower()
+
+    def _plain(self, text: str) -> bytes:
+        """Ids of one text, pre-token by pre-token: for special tokens and rare characters."""
+        out = []
+        for part in self.special_pattern.split(text) if self.special_pattern else [text]:
             if part in self.specials:
-                out.append((part,))
-            elif part.isascii():
-                out += self.ascii_pattern.findall(part.lower())
-            else:
-                try:  # Latin-1 texts are composed already and have a faster pattern
-                    part.encode("latin-1")
-                    out += self.latin_pattern.findall(part.lower())
-                except UnicodeEncodeError:  # lower-casing is per character: no final-sigma rule
-                    out += self.pattern.findall(unicodedata.normalize("NFC", part).replace("Σ", "σ").lower())
-        return out
+                out.append(array("I", [self.specials[part]]).tobytes())
+            elif words := self.pattern.findall(self._normal(part)):
+                own = list(dict.fromkeys(words))
+                known = dict(zip(own, self.encode_words(own), strict=True))
+                out += [known[w] for w in words]
+        return b"".join(out)
+
+    def _pre_tokens(self, units: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and ends of the pre-tokens: letter runs, single numbers, runs of other signs, contractions."""
+        kind = self.classes[units]
+        change = np.flatnonzero(np.diff(kind, prepend=0, append=0) != 0)
+        first = np.zeros(len(kind) + 1, bool)
+        first[change] = True
+        last = first[1:].copy()
+        number = kind == 2
+        first = (first[:-1] | number) & (kind != 0)
+        last = (last | number) & (kind != 0)
+        starts, ends = np.flatnonzero(first), np.flatnonzero(last) + 1
+        # An apostrophe that is a run of its own takes s, t, m, d, re, ve or ll along.
+        lone = np.flatnonzero((units[starts] == 0x27) & (ends - starts == 1))
+        lone = lone[lone + 1 < len(starts)]
+        lone = lone[(starts[lone + 1] == ends[lone]) & (kind[ends[lone]] == 1)]
+        if len(lone):
+            one = units[ends[lone]]
+            two = np.where(ends[lone + 1] - ends[lone] > 1, units[np.minimum(ends[lone] + 1, len(units) - 1)], 0)
+            is_ = lambda x, c: x == ord(c)
+            long = (is_(one, "r") & is_(two, "e")) | (is_(one, "v") & is_(two, "e")) | (is_(one, "l") & is_(two, "l"))
+            taken = np.where(long, 2, np.isin(one, [ord(c) for c in "stmd"]).astype(np.int64))
+            ends[lone] += taken
+            starts[lone + 1] += taken
+            full = ends > starts
+            starts, ends = starts[full], ends[full]
+        return starts, ends
 
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
-        self._turn()
-        words = [self.words(t) if t else [] for t in texts]
-        young, old = self.young, self.old
-        missing = set().union(*words).difference(young)
-        fresh = []
-        for w in missing:
-            if (ids := old.get(w)) is not None:
-                young[w] = ids
-            else:
-                fresh.append(w)
-        if fresh:
-            young.update(zip(fresh, self.encode_words(fresh), strict=True))
-        get = young.__getitem__
-        return [b"".join(map(get, w)) for w in words]
+        out: list[bytes] = [b""] * len(texts)
+        held, parts = [], []
+        for i, text in enumerate(texts):
+            if not text:
+                continue
+            if "<|" in text and self.special_pattern and self.special_pattern.search(text):
+                out[i] = self._plain(text)
+                continue
+            normal = self._normal(text)
+            data = normal.encode("utf-16-le", "surrogatepass")
+            if len(data) != 2 * len(normal):  # characters of two units
+                out[i] = self._plain(text)
+                continue
+            held.append(i)
+            parts.append(data)
+        if not held:
+            return out
+        units = np.frombuffer(b"\n\0".join(parts), "<u2")
+        offsets = np.cumsum([0, *[len(p) // 2 + 1 for p in parts]])
+        starts, ends = self._pre_tokens(units)
+        if not len(starts):
+            return out
+        sizes = ends - starts
+        keys = self.poly.spans(self.unit_values[units], starts, ends) ^ sizes.astype(U64)
+        entries = self.table.find(keys)
+        new = np.flatnonzero(entries < 0)
+        if len(new):
+            fresh, first = np.unique(keys[new], return_index=True)
+            if self.table.count + len(fresh) > self.table.most:
+                if self.table.count == 0:  # one batch with more words than the table holds
+                    for i in held:
+                        out[i] = self._plain(texts[i])
+                    return out
+                self.table.clear()
+                return self.encode_batch(texts)
+            text, at = units.tobytes().decode("utf-16-le"), new[first]
+            begins, stops = starts[at].tolist(), ends[at].tolist()
+            packed = self.encode_words([text[a:b] for a, b in zip(begins, stops, strict=True)])
+            self.table.add(fresh, [units[a:b] for a, b in zip(begins, stops, strict=True)], packed)
+            entries[new] = self.table.find(keys[new])
+        # Hashes only propose: the words themselves must be the same.
+        t = self.table
+        begin = t.unit_ends[entries]
+        whole = bool(np.array_equal(t.unit_ends[entries + 1] - begin, sizes))
+        if whole:
+            inner = positions_in_group(sizes)
+            whole = np.array_equal(t.units[np.repeat(begin, sizes) + inner], units[np.repeat(starts, sizes) + inner])
+        if not whole:
+            for i in held:
+                out[i] = self._plain(texts[i])
+            return out
+        begin = t.id_ends[entries]
+        n_ids = t.id_ends[entries + 1] - begin
+        stops = np.concatenate([[0], np.cumsum(n_ids)])
+        packed = t.ids[np.repeat(begin, n_ids) + positions_in_group(n_ids)].astype("<u4").tobytes()
+        edges = (4 * stops[np.searchsorted(starts, offsets)]).tolist()
+        for i, a, b in zip(held, edges, edges[1:], strict=False):
+            out[i] = packed[a:b]
+        return out
 
     def encode(self, text: str | None) -> np.ndarray:
         return np.frombuffer(self.encode_batch([text])[0], "<u4")
