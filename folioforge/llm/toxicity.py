@@ -1,7 +1,7 @@
 """Counterfactual-regularised toxicity classifier.
 
-A logistic model over hashed words and word beginnings that occur in the whole
-text.  Besides the label loss it is trained on counterfactual pairs: in each
+A logistic model over hashed words and word beginnings of the whole text (met
+at all, at least twice, at least four times).  Besides the label loss it is trained on counterfactual pairs: in each
 labelled sentence with an identity term the term is swapped for the next one of
 its group, and the squared change of the sentence's score is penalised, so a
 neutral mention of a group does not raise the score.
@@ -47,30 +47,48 @@ IDENTITY_TERMS = (
     ("femmes", "hommes"),
     ("mujeres", "hombres"),
 )
-_BEGINNINGS = (5, 6, 7, 8)
+_BEGINNINGS = (4, 5, 6, 7, 8)
 _POLY = Poly(41)
 _SWAP = {term: group[(i + 1) % len(group)] for group in IDENTITY_TERMS for i, term in enumerate(group)}
 
 
+#: A stem that occurs so often in a text gives a further feature; the odd factors map the table onto itself.
+_LEVELS = ((2, 3, 1), (4, 5, 2))
+
+
+def _level(feature: np.ndarray, factor: int, shift: int) -> np.ndarray:
+    return (feature * factor + shift) % TABLE
+
+
 def features(buf: np.ndarray, offsets: np.ndarray, known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
-    """(text number, feature) pairs, each once: whole words and their first bytes.
+    """(text number, feature) pairs, each once: whole words, their first bytes, and those met often.
 
     With ``known`` (a mask over the table) other features are left out at once.
     """
     words = Words(LOWER[buf], offsets, ALNUM_LOWER, _POLY)
     values, doc = _POLY.values[words.buf], words.text_of(np.arange(len(words.starts)))
+    wanted = None
+    if known is not None:
+        every = np.arange(TABLE)
+        wanted = known.copy()
+        for _, factor, shift in _LEVELS:
+            wanted |= known[_level(every, factor, shift)]
     out = []
     for k in (0, *_BEGINNINGS):
         at = np.flatnonzero(words.ends - words.starts >= k) if k else slice(None)
         hashes = mix(_POLY.spans(values, words.starts[at], words.starts[at] + k) * U64(2 * k + 1)) if k else words.hashes
         feature = (hashes % U64(TABLE)).astype(np.int64)
         where = doc[at]
-        if known is not None:
-            mask = known[feature]
+        if wanted is not None:
+            mask = wanted[feature]
             feature, where = feature[mask], where[mask]
         out.append(where * TABLE + feature)
-    keys = np.unique(np.concatenate(out))
-    return keys // TABLE, keys % TABLE
+    keys, times = np.unique(np.concatenate(out), return_counts=True)
+    where, feature = keys // TABLE, keys % TABLE
+    often = [(where * TABLE + _level(feature, factor, shift))[times >= least] for least, factor, shift in _LEVELS]
+    keys = np.unique(np.concatenate([keys, *often]))
+    where, feature = keys // TABLE, keys % TABLE
+    return (where, feature) if known is None else (where[known[feature]], feature[known[feature]])
 
 
 def counterfactuals(text: str) -> Iterator[tuple[str, str]]:
