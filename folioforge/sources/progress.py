@@ -27,7 +27,7 @@ def versions(spark: SparkSession, path: str) -> list[str]:
 def load(spark: SparkSession, path: str) -> DataFrame:
     """The newest version; none or an unreadable one gives an empty table."""
     found = versions(spark, path) if path else []
-    return spark.read.schema(SCHEMA).parquet(found[-1]) if found else spark.createDataFrame([], SCHEMA)
+    return spark.read.schema(SCHEMA).option("ignoreCorruptFiles", True).parquet(found[-1]) if found else spark.createDataFrame([], SCHEMA)
 
 
 def save(progress: DataFrame, path: str, keep: int = 2) -> str:

@@ -8,6 +8,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from ..sources import mailbox
+
 
 def latest(commands: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """Newest command of each key; for output mode ``complete`` or ``update``."""
@@ -64,3 +66,25 @@ def drain(stream: DataFrame, checkpoint: str, path: str, mode: str = "append", e
     writer = stream.writeStream.outputMode(mode).option("checkpointLocation", checkpoint).trigger(availableNow=True)
     query = (writer.foreachBatch(each) if each else writer.format("parquet").option("path", path)).start()
     query.awaitTermination()
+
+
+class Listener:
+    """Takes chat events from a stream into the mailbox; starting twice and stopping twice do nothing."""
+
+    def __init__(self, events: DataFrame, folder: str, checkpoint: str):
+        self.events, self.folder, self.checkpoint, self.query = events, folder, checkpoint, None
+
+    @property
+    def running(self) -> bool:
+        return self.query is not None and self.query.isActive
+
+    def start(self) -> bool:
+        if not self.running:
+            commands = mailbox.from_events(self.events)
+            self.query = commands.writeStream.outputMode("append").option("checkpointLocation", self.checkpoint).foreachBatch(lambda batch, _: mailbox.append(batch, self.folder)).start()
+        return self.running
+
+    def stop(self) -> None:
+        if self.query is not None:
+            self.query.stop()
+            self.query = None

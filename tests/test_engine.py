@@ -337,6 +337,34 @@ def test_mailbox_and_streams(spark, tmp_path):
     assert rows(spark.read.parquet(str(tmp_path / "o2")), "open_id", "action", "replied") == [("o", "cancel", 5.0)]
 
 
+def test_waiting_for_a_reply(spark, tmp_path):
+    box, clock, log = str(tmp_path / "box"), Clock(), sinks.LogNotifier()
+    put = lambda action, at: mailbox.append(spark.createDataFrame([(action, "v", at, "", "")], mailbox.SCHEMA).coalesce(1), box)
+    clock.now = 10.0
+    waiting = {"clock": clock, "sleep": clock.sleep}
+    assert mailbox.wait_for_reply(spark, box, 5.0, **waiting) is None and clock.now == 16.0
+    put("confirm", 5.0)  # before the call
+    assert mailbox.wait_for_reply(spark, box, 3.0, **waiting) is None
+    put("retry", 1000.0)
+    assert mailbox.wait_for_reply(spark, box, 3.0, expected=["cancel"], **waiting) is None
+    got = mailbox.send_and_wait(spark, log, "t", ["x"], box, timeout=3.0, expected=["retry"], **waiting)
+    assert got["action"] == "retry" and [a["type"] for a in json.loads(log.cards[0])["actions"]] == ["primary", "default", "danger"]
+    for i in range(3):
+        put("pause", 2000.0 + i)
+    assert mailbox.retain(spark, box, 0) == 0 and mailbox.retain(spark, box, 2) == 3 and mailbox.read(spark, box).count() == 2
+
+
+def test_listener(spark, tmp_path):
+    schema = "kind string, content string, action string, label string, open_id string, user_id string, time double"
+    (tmp_path / "events").mkdir()
+    listener = streams.Listener(spark.readStream.schema(schema).json(str(tmp_path / "events")), str(tmp_path / "box"), str(tmp_path / "state"))
+    assert listener.start() and listener.start() and listener.running
+    spark.createDataFrame([("card", None, "pause", None, "o", None, 1.0)], schema).coalesce(1).write.mode("append").json(str(tmp_path / "events"))
+    listener.query.processAllAvailable()
+    listener.stop()
+    assert not listener.running and mailbox.newest(spark, str(tmp_path / "box"))["action"] == "pause"
+
+
 def test_throttle_stream(spark, tmp_path):
     steps = spark.createDataFrame([("k", n, 25, n * 40.0) for n in range(1, 26)], "k string, current long, total long, at double")
     steps.coalesce(1).write.parquet(str(tmp_path / "in"))

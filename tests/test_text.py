@@ -139,3 +139,11 @@ def test_notices(spark):
     assert "46.2%" in step["elements"][0]["content"] and "0.2分钟" in step["elements"][2]["content"] and step["elements"][3]["content"].endswith("-")
     assert [b["type"] for b in one(spark, N.buttons([("a", "confirm"), ("b", "cancel"), ("c", "retry")]))] == ["primary", "danger", "default"]
     assert json.loads(one(spark, N.start_card(F.lit("n"), F.lit(3), F.lit(""), F.current_timestamp())))["elements"][3]["content"].endswith("无")
+
+
+def test_chunks(spark):
+    text = "".join(f"第{i}句话。" + ("\n" if i % 7 == 0 else "") for i in range(400))
+    for limit in (100, 600):
+        got = one(spark, T.text_chunks(F.lit(text), limit))
+        assert "".join(got) == text and max(map(len, got)) <= limit
+    assert one(spark, T.text_chunks(F.lit(""), 600)) == []
