@@ -2,15 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from ..functions import notices as N
 
 
-def status_counts(results: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """success, failed, skipped and total, overall or by keys."""
+def status_counts(results: DataFrame, keys: list[str] | None = None, *more: Column) -> DataFrame:
+    """success, failed, skipped and total, and more aggregates of the same pass, overall or by keys."""
     counts = [F.count_if(F.col("status") == s).alias(s) for s in ("success", "failed", "skipped")]
-    return results.groupBy(*(keys or [])).agg(F.count("*").alias("total"), *counts)
+    return results.groupBy(*(keys or [])).agg(F.count("*").alias("total"), *counts, *more)
 
 
 def with_progress(counts: DataFrame) -> DataFrame:

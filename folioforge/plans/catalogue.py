@@ -147,9 +147,8 @@ _COUNTS = f"WITH {_PROGRESS}, c AS (SELECT source, count(*) AS total, count(*) F
 
 def _counts(spark, d) -> DataFrame:
     joined = _tasks(spark, d).join(_progress(spark, d), "task_id", "left")
-    base = rollup.with_progress(rollup.status_counts(joined, ["source"]))
-    chars = joined.groupBy("source").agg(F.sum(F.when(F.col("status").isNotNull(), F.col("n_chars")).otherwise(F.lit(0).cast("long"))).alias("chars"))
-    return base.join(chars, "source")
+    chars = F.sum(F.when(F.col("status").isNotNull(), F.col("n_chars")).otherwise(F.lit(0).cast("long"))).alias("chars")
+    return rollup.with_progress(rollup.status_counts(joined, ["source"], chars))
 
 
 @query(_COUNTS + " SELECT source, total, success, failed, skipped, current, round(current * 100.0 / total, 6) AS pct, repeat('█', CAST(current * 100 // (total * 5) AS INTEGER)) || repeat('░', CAST(20 - current * 100 // (total * 5) AS INTEGER)) AS bar FROM c")
