@@ -133,7 +133,7 @@ class Words:
         return [whole[a : max(a, b - 1)].decode() for a, b in zip(stops[:-1].tolist(), stops[1:].tolist(), strict=True)]
 
 
-def chunks(batches: Iterable[pa.RecordBatch], columns: list[str], most: int = 4 << 20) -> Iterator[tuple]:
+def chunks(batches: Iterable[pa.RecordBatch], columns: list[str], most: int = 1 << 20) -> Iterator[tuple]:
     """(ids, bytes, offsets) of runs of rows with about ``most`` bytes of text; a longer text stands alone."""
     id_column, text_column = columns
     for batch in batches:

@@ -18,6 +18,7 @@ without any); rows with a null id are scored, held_out null; other columns
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -60,19 +61,21 @@ def _level(feature: np.ndarray, factor: int, shift: int) -> np.ndarray:
     return (feature * factor + shift) % TABLE
 
 
-def features(buf: np.ndarray, offsets: np.ndarray, known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+def stems_of(known: np.ndarray) -> np.ndarray:
+    """Mask of the stems that lead to one of the known features."""
+    every, out = np.arange(TABLE), known.copy()
+    for _, factor, shift in _LEVELS:
+        out |= known[_level(every, factor, shift)]
+    return out
+
+
+def features(buf: np.ndarray, offsets: np.ndarray, known: np.ndarray | None = None, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """(text number, feature) pairs, each once: whole words, their first bytes, and those met often.
 
-    With ``known`` (a mask over the table) other features are left out at once.
+    With ``known`` (a mask over the table) and its ``stems_of`` other features are left out at once.
     """
     words = Words(LOWER[buf], offsets, ALNUM_LOWER, _POLY)
     values, doc = _POLY.values[words.buf], words.text_of(np.arange(len(words.starts)))
-    wanted = None
-    if known is not None:
-        every = np.arange(TABLE)
-        wanted = known.copy()
-        for _, factor, shift in _LEVELS:
-            wanted |= known[_level(every, factor, shift)]
     out = []
     for k in (0, *_BEGINNINGS):
         at = np.flatnonzero(words.ends - words.starts >= k) if k else slice(None)
@@ -105,8 +108,13 @@ class ToxicityModel:
     weights: np.ndarray
     bias: float
 
+    @functools.cached_property
+    def masks(self) -> tuple[np.ndarray, np.ndarray]:
+        known = self.weights != 0
+        return known, stems_of(known)
+
     def score(self, buf: np.ndarray, offsets: np.ndarray) -> np.ndarray:
-        doc, feature = features(buf, offsets, self.weights != 0)
+        doc, feature = features(buf, offsets, *self.masks)
         raw = np.bincount(doc, weights=self.weights[feature], minlength=len(offsets) - 1) + self.bias
         return 1 / (1 + np.exp(-raw))
 
