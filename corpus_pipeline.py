@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from folioforge.llm import bpe, linededup, simhash, toxicity, winnow
-from folioforge.llm.common import cut
+from folioforge.llm.common import cut_at, drop_path
 from folioforge.llm.queries import tokenizer_path
 
 #: No DuckDB SQL: the classifier, XXH64 with a seed and BPE are not expressible in it.
@@ -58,7 +58,10 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    docs, before = spark.read.parquet(f"{sf_dir}/documents.parquet"), None
     for name, stage in STAGES[:-1]:
-        docs = cut(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        docs, place = cut_at(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if before:  # the stage after it is written
+            drop_path(spark, before)
+        before = place
     return STAGES[-1][1](spark, docs, sf_dir)

@@ -22,9 +22,22 @@ def shared_dir(spark: SparkSession) -> str:
     return place.rstrip("/")
 
 
+#: Scratch paths of this driver that have not been dropped.
+_made: list[str] = []
+
+
 def scratch(spark: SparkSession, what: str) -> str:
     """A fresh path below the shared folder."""
-    return f"{shared_dir(spark)}/folioforge/{what}-{uuid.uuid4().hex}"
+    _made.append(f"{shared_dir(spark)}/folioforge/{what}-{uuid.uuid4().hex}")
+    return _made[-1]
+
+
+def release(spark: SparkSession) -> int:
+    """Delete this driver's scratch tables; call it once results that read them are written."""
+    n = len(_made)
+    for path in list(_made):
+        drop_path(spark, path)
+    return n
 
 
 def cut_at(df: DataFrame, what: str = "cut") -> tuple[DataFrame, str]:
@@ -45,6 +58,8 @@ def cut(df: DataFrame, what: str = "cut") -> DataFrame:
 
 def drop_path(spark: SparkSession, path: str) -> None:
     """Delete a scratch path through Hadoop's file systems."""
+    if path in _made:
+        _made.remove(path)
     jvm = spark.sparkContext._jvm
     p = jvm.org.apache.hadoop.fs.Path(path)
     p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

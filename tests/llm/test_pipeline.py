@@ -36,3 +36,13 @@ def test_stages_keep_the_columns(spark):
         assert out.columns == docs.columns
         assert out.where("n_chars <> length(text)").count() == 0
         assert stage(spark, docs.limit(0), SF).count() == 0
+
+
+def test_release_deletes_scratch_tables(spark):
+    from folioforge.llm import common
+
+    common.release(spark)
+    table, place = common.cut_at(spark.range(3), "x")
+    assert table.count() == 3 and common.release(spark) == 1 and common.release(spark) == 0
+    with pytest.raises(Exception, match="PATH_NOT_FOUND"):
+        spark.read.parquet(place).count()
