@@ -25,15 +25,20 @@ def with_eta(counts: DataFrame, elapsed: str = "elapsed_s") -> DataFrame:
     return counts.withColumn("avg_s", each).withColumn("eta_min", each * (F.col("total") - F.col("current")) / 60)
 
 
+def _failed(order: str) -> Column:
+    """Aggregate: ids that failed, in task order."""
+    rows = F.array_sort(F.collect_list(F.when(F.col("status") == "failed", F.struct(order, "task_id"))))
+    return F.transform(rows, lambda r: r["task_id"]).alias("failed_ids")
+
+
 def failed_ids(results: DataFrame, order: str = "ord") -> DataFrame:
     """One row with the ids that failed, in task order."""
-    rows = F.array_sort(F.collect_list(F.when(F.col("status") == "failed", F.struct(order, "task_id"))))
-    return results.agg(F.transform(rows, lambda r: r["task_id"]).alias("failed_ids"))
+    return results.agg(_failed(order))
 
 
 def summary(results: DataFrame, elapsed_min: float, order: str = "ord") -> DataFrame:
-    """One row: counts, elapsed minutes and failed ids."""
-    return status_counts(results).crossJoin(failed_ids(results, order)).withColumn("elapsed_min", F.lit(float(elapsed_min)))
+    """One row, one pass: counts, failed ids and elapsed minutes."""
+    return status_counts(results, None, _failed(order)).withColumn("elapsed_min", F.lit(float(elapsed_min)))
 
 
 def call_stats(calls: DataFrame, keys: list[str] | None = None) -> DataFrame:
