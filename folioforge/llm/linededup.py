@@ -13,7 +13,8 @@ splits, and the text is shuffled once, to meet its own list of dropped lines.
 
 Defined cases: a null or empty text is one empty line and stays; keys of fewer
 than ``LEAST`` code points are never dropped; rows with equal ids are one
-document, so none of them loses lines to another; rows with a null id keep all
+document, so none of them loses lines to another, and each loses the lines that
+its own text shares with an earlier document; rows with a null id keep all
 lines and claim none; an empty table gives an empty result; other columns are
 not read.
 """
@@ -37,11 +38,16 @@ def line_key(line):
     return F.translate(F.trim(line, F.lit(_BLANKS)), "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def text_tag(text):
+    """A hash of the whole text; a null text is an empty one."""
+    return F.xxhash64(F.coalesce(text, F.lit("")))
+
+
 def line_hashes(docs: DataFrame) -> DataFrame:
-    """(hash, doc, at): positions of each distinct long line of each document."""
-    lines = docs.where("doc IS NOT NULL").select("doc", F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("at", "line"))
-    keys = lines.select("doc", "at", line_key(F.col("line")).alias("key")).where(F.length("key") >= LEAST)
-    return keys.select(F.unhex(F.md5("key")).alias("hash"), "doc", "at")
+    """(hash, doc, tag, at): positions of the long lines of each text; the tag tells texts of one id apart."""
+    lines = docs.where("doc IS NOT NULL").select("doc", text_tag(F.col("text")).alias("tag"), F.posexplode(F.split(F.coalesce("text", F.lit("")), "\n", -1)).alias("at", "line"))
+    keys = lines.select("doc", "tag", "at", line_key(F.col("line")).alias("key")).where(F.length("key") >= LEAST)
+    return keys.select(F.unhex(F.md5("key")).alias("hash"), "doc", "tag", "at")
 
 
 @dataclass
@@ -75,7 +81,7 @@ class Runs:
 
 
 def dropped_lines(docs: DataFrame, batches: int = BATCHES, fan: int = FAN) -> DataFrame:
-    """(doc, dropped array<int>): positions of the lines that an earlier document holds."""
+    """(doc, tag, dropped array<int>): positions of the lines that an earlier document holds."""
     spark = docs.sparkSession
     hashed, hashed_at = cut_at(line_hashes(docs), "line-hashes")  # the text is read once for all batches
     bounds = hashed.agg(F.percentile_approx("doc", [i / batches for i in range(1, batches)], 10_000).alias("q")).first()["q"] if batches > 1 else []
@@ -102,7 +108,7 @@ def dropped_lines(docs: DataFrame, batches: int = BATCHES, fan: int = FAN) -> Da
         if i < len(edges) - 2:
             runs.add(firsts.where("fresh").select("hash", "owner"))
         shared = firsts.where("owner < last").select("hash", "owner")
-        gone = lines.join(shared, "hash").where("doc > owner").groupBy("doc").agg(F.array_sort(F.collect_set("at")).alias("dropped"))
+        gone = lines.join(shared, "hash").where("doc > owner").groupBy("doc", "tag").agg(F.array_sort(F.collect_set("at")).alias("dropped"))
         gone = cut(gone, "dropped")
         drop_path(spark, place)
         out = gone if out is None else out.union(gone)
@@ -114,10 +120,10 @@ def dropped_lines(docs: DataFrame, batches: int = BATCHES, fan: int = FAN) -> Da
 def dedup_lines(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", batches: int = BATCHES, fan: int = FAN) -> DataFrame:
     """All columns of ``docs`` with the kept text, plus n_lines and n_dropped (bigint)."""
     plain = docs.select(F.col(id_column).alias("doc"), F.col(text_column).alias("text"))
-    gone = dropped_lines(plain, batches, fan).select(F.col("doc").alias("__doc"), F.col("dropped").alias("__dropped"))
+    gone = dropped_lines(plain, batches, fan).select(F.col("doc").alias("__doc"), F.col("tag").alias("__tag"), F.col("dropped").alias("__dropped"))
     lines = F.split(F.coalesce(F.col(text_column), F.lit("")), "\n", -1)
     # A merge join at every size: the list of dropped lines grows with the input.
-    joined = docs.join(gone.hint("merge"), F.col(id_column) == F.col("__doc"), "left").withColumn("__lines", lines)
+    joined = docs.join(gone.hint("merge"), (F.col(id_column) == F.col("__doc")) & (text_tag(F.col(text_column)) == F.col("__tag")), "left").withColumn("__lines", lines)
     kept = F.array_join(F.filter("__lines", lambda x, i: ~F.array_contains("__dropped", i)), "\n")
     n_dropped = F.coalesce(F.size("__dropped"), F.lit(0))
     text = F.when(F.col("__dropped").isNull(), F.coalesce(F.col(text_column), F.lit(""))).otherwise(kept)

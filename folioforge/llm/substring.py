@@ -20,18 +20,24 @@ shuffled once and that exchange is used twice.  The number of parts follows
 the input's bytes, so each part stays at some megabytes.
 
 Defined cases: null or empty texts have no words, and the kept text is the
-empty string; texts of fewer than ``WINDOW`` words keep all; rows with equal
-ids are the same document: at the same start neither is earlier; a null id is
-ordered before all others; an empty table gives an empty result; other columns
-are not read.  Ids are integers.
+empty string; texts of fewer than ``WINDOW`` words keep all; of rows with equal
+ids neither is earlier at the same start, and positions found in one are never
+applied to another text; a null id is ordered before all others; an empty table
+gives an empty result; other columns are not read.  Ids are integers.
+
+So that rows of one id stay apart, entries carry a tag beside the id: the hash
+of the row's text where the id is null or may be repeated, else zero.  Repeated
+ids are told by a bitmap of fixed size over ``id mod SLOTS``; ids that merely
+share a slot get a tag too, which costs space and changes nothing.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from .common import spread, text_bytes
@@ -43,6 +49,8 @@ BLOCK = 10
 PART_BYTES = 8 << 20
 #: Bytes of text that are hashed at a time; working memory is some 50 times this.
 CHUNK_BYTES = 2 << 20
+#: Bits of the broadcast bitmap of repeated ids (8 MB).
+SLOTS = 1 << 26
 _WORD, _GRAM, _OTHER = Poly(31), Poly(32), Poly(33)
 _LEAST = -(2**63)
 
@@ -73,28 +81,48 @@ def _unplanes(data: bytes, width: int, dtype: str) -> np.ndarray:
     return out.view(dtype).ravel()
 
 
-def _packed(part: int, home: int, ids: np.ndarray, doc: np.ndarray, position: np.ndarray, hashes: bytes) -> dict:
+def _packed(part: int, home: int, keys: np.ndarray, doc: np.ndarray, position: np.ndarray, hashes: bytes) -> dict:
     """One row: entries of one part, in the order of documents and positions."""
     docs, counts = np.unique(doc, return_counts=True)
-    return {"part": part, "home": home, "ids": ids[docs].astype("<i8").tobytes(), "counts": counts.astype("<u4").tobytes(), "gaps": _planes(_gaps(position, counts), 4), "hashes": hashes}
+    ids, tags = keys[docs, 0].astype("<i8"), keys[docs, 1].astype("<i8")
+    return {"part": part, "home": home, "ids": ids.tobytes(), "tags": tags.tobytes() if tags.any() else b"", "counts": counts.astype("<u4").tobytes(), "gaps": _planes(_gaps(position, counts), 4), "hashes": hashes}
 
 
 def _opened(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """ids, counts, positions of a row."""
+    """keys, counts, positions of a row."""
     counts = np.frombuffer(row["counts"], "<u4").astype(np.int64)
-    return np.frombuffer(row["ids"], "<i8"), counts, _positions(_unplanes(row["gaps"], 4, "<u4"), counts)
+    keys = np.zeros((len(counts), 2), np.int64)
+    keys[:, 0] = np.frombuffer(row["ids"], "<i8")
+    if row["tags"]:
+        keys[:, 1] = np.frombuffer(row["tags"], "<i8")
+    return keys, counts, _positions(_unplanes(row["gaps"], 4, "<u4"), counts)
 
 
-_ROW = "part int, home int, ids binary, counts binary, gaps binary, hashes binary"
+_ROW = "part int, home int, ids binary, tags binary, counts binary, gaps binary, hashes binary"
 
 
 def _batch(rows: list[dict]) -> pa.RecordBatch:
-    columns = {"part": pa.int32(), "home": pa.int32(), "ids": pa.binary(), "counts": pa.binary(), "gaps": pa.binary(), "hashes": pa.binary()}
+    columns = {"part": pa.int32(), "home": pa.int32(), "ids": pa.binary(), "tags": pa.binary(), "counts": pa.binary(), "gaps": pa.binary(), "hashes": pa.binary()}
     return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in columns.items()], names=list(columns))
 
 
-def _ids(column: pa.Array) -> np.ndarray:
-    return column.cast(pa.int64()).fill_null(_LEAST).to_numpy(zero_copy_only=False)
+def _keys(rows: pa.RecordBatch, repeated: np.ndarray) -> np.ndarray:
+    """(id, tag) of each row; only rows with equal ids and texts share one."""
+    ids = rows.column("_id").cast(pa.int64()).fill_null(_LEAST).to_numpy(zero_copy_only=False)
+    slot = ids & (SLOTS - 1)
+    told = (repeated[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
+    return np.stack([ids, np.where(told | (ids == _LEAST), rows.column("_print").to_numpy(zero_copy_only=False), 0)], axis=1)
+
+
+def _repeated(docs: DataFrame) -> np.ndarray:
+    """Bitmap of the slots that more than one row's id falls into."""
+    slots = docs.where(F.col("_id") != _LEAST).groupBy(F.pmod("_id", F.lit(SLOTS)).alias("slot")).count().where("count > 1").select((F.col("slot") + 1).alias("slot"))
+    found = slots.groupBy(F.bitmap_bucket_number("slot").alias("n")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
+    out = np.zeros(SLOTS // 8, np.uint8)
+    for r in found.toLocalIterator():
+        bits = np.frombuffer(bytes(r["bits"]), np.uint8)
+        out[(r["n"] - 1) * len(bits) : r["n"] * len(bits)] = bits
+    return out
 
 
 def _home(ids: np.ndarray, parts: int) -> np.ndarray:
@@ -110,36 +138,42 @@ def _split(values: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
         yield int(p), order[edges[p] : edges[p + 1]]
 
 
-def _rows_of(part_of: np.ndarray, parts: int, ids: np.ndarray, doc: np.ndarray, position: np.ndarray, hashed) -> list[dict]:
-    return [_packed(p, 0, ids, doc[at], position[at], hashed(at)) for p, at in _split(part_of, parts)]
+def _rows_of(part_of: np.ndarray, parts: int, keys: np.ndarray, doc: np.ndarray, position: np.ndarray, hashed) -> list[dict]:
+    return [_packed(p, 0, keys, doc[at], position[at], hashed(at)) for p, at in _split(part_of, parts)]
+
+
+def _edges(keys: np.ndarray) -> np.ndarray:
+    """Where runs of equal keys begin, and the end."""
+    fresh = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
+    return np.concatenate([[0], fresh, [len(keys)]]) if len(keys) else np.zeros(1, np.int64)
 
 
 def _answers(hit: np.ndarray, opened: list, parts: int) -> pa.RecordBatch:
     """The entries that hit, packed for the homes of their documents."""
-    ids = np.concatenate([np.repeat(i, c) for i, c, _ in opened])[hit]
+    keys = np.concatenate([np.repeat(k, c, axis=0) for k, c, _ in opened])[hit]
     position = np.concatenate([p for _, _, p in opened])[hit]
-    names, doc = np.unique(ids, return_inverse=True)
-    order = np.lexsort((position, doc))
-    doc, position = doc[order], position[order]
-    home = _home(names, parts)[doc]
+    order = np.lexsort((position, keys[:, 1], keys[:, 0]))
+    keys, position = keys[order], position[order]
+    edges = _edges(keys)
+    names, doc = keys[edges[:-1]], np.repeat(np.arange(len(edges) - 1), np.diff(edges))
+    home = _home(names[:, 0], parts)[doc]
     return _batch([_packed(0, h, names, doc[at], position[at], b"") for h, at in _split(home, parts)])
 
 
-def _probe(docs: DataFrame, parts: int) -> DataFrame:
+def _probe(docs: DataFrame, parts: int, repeated: Broadcast) -> DataFrame:
     """Every rolling block of every document, to the part of its hash."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, buf, offsets in chunks(batches, ["_id", "_text"], CHUNK_BYTES):
-            words = Words(buf, offsets, NON_SPACE, _WORD)
+        for rows, words in _texts(batches):
             starts = words.whole(BLOCK)
             doc = words.text_of(starts)
             long = words.counts[doc] >= WINDOW
             starts, doc = starts[long], doc[long]
             grams = words.grams(BLOCK, _GRAM)[starts] if len(starts) else np.zeros(0, U64)
             short = (grams & U64(0xFFFFFF)).astype("<u4")
-            yield _batch(_rows_of(((grams >> U64(32)) % U64(parts)).astype(np.int64), parts, _ids(ids), doc, starts - words.bounds[doc], lambda at: _planes(short[at], 3)))
+            yield _batch(_rows_of(((grams >> U64(32)) % U64(parts)).astype(np.int64), parts, _keys(rows, repeated.value), doc, starts - words.bounds[doc], lambda at: _planes(short[at], 3)))
 
-    return docs.select("_id", "_text").mapInArrow(run, _ROW)
+    return docs.select("_id", "_print", "_text").mapInArrow(run, _ROW)
 
 
 def _anchors(probes: DataFrame, parts: int) -> DataFrame:
@@ -166,35 +200,32 @@ def _anchors(probes: DataFrame, parts: int) -> DataFrame:
     return probes.groupBy("part").applyInArrow(run, _ROW)
 
 
-def _marks(rows: list[dict]) -> dict[int, np.ndarray]:
-    """Document id to its positions."""
-    ids, positions = [], []
-    for r in rows:
-        i, c, p = _opened(r)
-        ids.append(np.repeat(i, c))
-        positions.append(p)
-    if not ids:
+def _marks(rows: list[dict]) -> dict[tuple[int, int], np.ndarray]:
+    """Document key to its positions."""
+    if not rows:
         return {}
-    ids, positions = np.concatenate(ids), np.concatenate(positions)
-    order = np.lexsort((positions, ids))
-    ids, positions = ids[order], positions[order]
-    edges = np.flatnonzero(np.diff(ids)) + 1
-    return dict(zip(ids[np.concatenate([[0], edges])].tolist(), np.split(positions, edges), strict=True)) if len(ids) else {}
+    opened = [_opened(r) for r in rows]
+    keys, positions = np.concatenate([np.repeat(k, c, axis=0) for k, c, _ in opened]), np.concatenate([p for _, _, p in opened])
+    order = np.lexsort((positions, keys[:, 1], keys[:, 0]))
+    keys, positions = keys[order], positions[order]
+    edges = _edges(keys)
+    return dict(zip(map(tuple, keys[edges[:-1]].tolist()), np.split(positions, edges[1:-1]), strict=True)) if len(keys) else {}
 
 
-def _texts(table: pa.Table) -> Iterator[tuple[pa.Array, np.ndarray, Words]]:
-    for batch in table.to_batches():
+def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Words]]:
+    for batch in batches:
         row = 0
         for ids, buf, offsets in chunks([batch], ["_id", "_text"], CHUNK_BYTES):
-            yield batch.column("_name").slice(row, len(ids)), _ids(ids), Words(buf, offsets, NON_SPACE, _WORD)
+            yield batch.slice(row, len(ids)), Words(buf, offsets, NON_SPACE, _WORD)
             row += len(ids)
 
 
-def _windows(table: pa.Table, anchors: pa.Table, parts: int) -> pa.Table:
+def _windows(table: pa.Table, anchors: pa.Table, parts: int, repeated: np.ndarray) -> pa.Table:
     """Windows around the anchors, to the part of their hash."""
     marks, out = _marks(anchors.to_pylist()), []
-    for _, ids, words in _texts(table):
-        held = [(d, marks[i]) for d, i in enumerate(ids.tolist()) if i in marks]
+    for rows, words in _texts(table.to_batches()):
+        keys = _keys(rows, repeated)
+        held = [(d, marks[k]) for d, k in enumerate(map(tuple, keys.tolist())) if k in marks]
         if not held:
             continue
         at = np.concatenate([m + words.bounds[d] for d, m in held])
@@ -207,7 +238,7 @@ def _windows(table: pa.Table, anchors: pa.Table, parts: int) -> pa.Table:
         wide = np.zeros((len(one), 12), np.uint8)
         wide[:, :8] = one.astype("<u8").view(np.uint8).reshape(-1, 8)
         wide[:, 8:] = two.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :4]
-        out += _rows_of((two >> U64(32)).astype(np.int64) % parts, parts, ids, doc, starts - words.bounds[doc], lambda at, wide=wide: wide[at].tobytes())
+        out += _rows_of((two >> U64(32)).astype(np.int64) % parts, parts, keys, doc, starts - words.bounds[doc], lambda at, wide=wide: wide[at].tobytes())
     return pa.Table.from_batches([_batch(out)])
 
 
@@ -219,7 +250,7 @@ def _later(windows: DataFrame, parts: int) -> DataFrame:
         opened = [_opened(r) for r in rows]
         wide = np.concatenate([np.frombuffer(r["hashes"], np.uint8) for r in rows]).reshape(-1, 12)
         one, two = np.ascontiguousarray(wide[:, :8]).view("<u8").ravel(), np.ascontiguousarray(wide[:, 8:]).view("<u4").ravel()
-        ids = np.concatenate([np.repeat(i, c) for i, c, _ in opened])
+        ids = np.concatenate([np.repeat(k[:, 0], c) for k, c, _ in opened])
         position = np.concatenate([p for _, _, p in opened])
         order = np.lexsort((position, ids, two, one))
         fresh = np.ones(len(order), bool)
@@ -232,12 +263,12 @@ def _later(windows: DataFrame, parts: int) -> DataFrame:
     return windows.groupBy("part").applyInArrow(run, _ROW)
 
 
-def _covered(words: Words, ids: np.ndarray, marks: dict[int, np.ndarray]) -> np.ndarray:
+def _covered(words: Words, keys: np.ndarray, marks: dict[tuple[int, int], np.ndarray]) -> np.ndarray:
     """For each word whether a marked window covers it."""
     edge = np.zeros(len(words.starts) + 1, np.int64)
-    for d, i in enumerate(ids.tolist()):
-        if i in marks:
-            at = marks[i] + words.bounds[d]
+    for d, k in enumerate(map(tuple, keys.tolist())):
+        if k in marks:
+            at = marks[k] + words.bounds[d]
             np.add.at(edge, at, 1)
             np.add.at(edge, at + WINDOW, -1)
     return np.cumsum(edge[:-1]) > 0
@@ -248,20 +279,21 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
     parts = spread(text_bytes(docs, text_column), part_bytes)
     kind = docs.schema[id_column].dataType.simpleString()
     key = F.coalesce(F.col(id_column).cast("bigint"), F.lit(_LEAST))
-    plain = docs.select(F.col(id_column).alias("_name"), key.alias("_id"), F.col(text_column).alias("_text"))
+    plain = docs.select(F.col(id_column).alias("_name"), key.alias("_id"), F.xxhash64(text_column).alias("_print"), F.col(text_column).alias("_text"))
+    repeated = docs.sparkSession.sparkContext.broadcast(_repeated(plain.select("_id")))
     # One exchange of the text, used by both cogroups below.
     texts = plain.withColumn("home", F.pmod(F.col("_id").bitwiseXOR(F.shiftright("_id", 9)), F.lit(parts)).cast("int"))
-    anchors = _anchors(_probe(plain, parts), parts)
-    windows = texts.groupBy("home").cogroup(anchors.groupBy("home")).applyInArrow(lambda text, marks: _windows(text, marks, parts), _ROW)
+    anchors = _anchors(_probe(plain, parts, repeated), parts)
+    windows = texts.groupBy("home").cogroup(anchors.groupBy("home")).applyInArrow(lambda text, marks: _windows(text, marks, parts, repeated.value), _ROW)
     later = _later(windows, parts)
 
     def remove(table: pa.Table, later: pa.Table) -> pa.Table:
         marks, out = _marks(later.to_pylist()), []
-        for names, ids, words in _texts(table):
-            gone = _covered(words, ids, marks)
-            left = np.add.reduceat(np.append(gone, False), np.minimum(words.bounds[:-1], len(gone)), dtype=np.int64) if len(gone) else np.zeros(len(ids), np.int64)
+        for rows, words in _texts(table.to_batches()):
+            gone = _covered(words, _keys(rows, repeated.value), marks)
+            left = np.add.reduceat(np.append(gone, False), np.minimum(words.bounds[:-1], len(gone)), dtype=np.int64) if len(gone) else np.zeros(rows.num_rows, np.int64)
             left[words.counts == 0] = 0
-            out.append(pa.RecordBatch.from_arrays([names, pa.array(words.counts, pa.int64()), pa.array(left, pa.int64()), pa.array(words.joined(~gone), pa.string())], names=[id_column, "n_words", "n_removed", "kept_text"]))
+            out.append(pa.RecordBatch.from_arrays([rows.column("_name"), pa.array(words.counts, pa.int64()), pa.array(left, pa.int64()), pa.array(words.joined(~gone), pa.string())], names=[id_column, "n_words", "n_removed", "kept_text"]))
         schema = pa.schema([(id_column, table.schema.field("_name").type), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_text", pa.string())])
         return pa.Table.from_batches(out, schema)
 

@@ -193,3 +193,22 @@ def test_queries_match_sql(spark):
         table = con.sql(sql).to_arrow_table()
         assert sorted(df.columns) == sorted(table.column_names)
         same(df, sorted(df.columns), [tuple(r[c] for c in sorted(r)) for r in table.to_pylist()])
+
+
+def shared_ids(ids, key):
+    """Rows of one id whose texts differ, with a passage (and a line) that an earlier document holds."""
+    rng = random.Random(11)
+    words = lambda n, c: " ".join(f"{c}{rng.randrange(1000)}" for _ in range(n))
+    passage, other = words(30, "p"), words(25, "q")
+    long, short, plain = words(120, "a") + "\n" + passage + "\n" + words(9, "b"), words(25, "c") + "\n" + other, words(300, "d") + "\n" + words(40, "e")
+    texts = [long, short, plain, passage + "\n" + plain, words(3, "f"), None]
+    return [(key, passage + "\n" + other), *[(i, t) for t in texts for i in ids], (9, words(60, "g"))]
+
+
+@pytest.mark.parametrize("ids,key", [([None], -(2**62)), ([5], 1), ([5, 5, 6], 1), ([None, 7], 1)])
+def test_rows_of_one_id_keep_apart(spark, ids, key):
+    rows = shared_ids(ids, key)
+    df = frame(spark, rows, extra=False)
+    for part_bytes in (500, 1 << 20):
+        same(substring.remove_repeats(df, part_bytes=part_bytes), ["doc_id", "n_words", "n_removed", "kept_text"], brute.remove_repeats(rows))
+    same(linededup.dedup_lines(df), ["doc_id", "n_lines", "n_dropped", "text"], brute.dedup_lines(rows))
