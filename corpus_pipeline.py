@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from folioforge.llm import bpe, linededup, simhash, toxicity, winnow
-from folioforge.llm.common import cut_at, drop_path
+from folioforge.llm.common import cut, cut_at, drop_path
 from folioforge.llm.queries import tokenizer_path
 
 #: No DuckDB SQL: the classifier, XXH64 with a seed and BPE are not expressible in it.
@@ -32,15 +32,28 @@ def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document with the smallest id stays."""
-    kept = simhash.near_duplicates(docs).where("doc_id = component_id").select("doc_id").distinct()
-    return docs.join(kept.hint("merge"), "doc_id", "left_semi").select(docs.columns)
+    """Of each group of near copies one row stays, so a row without a near copy always does.
+
+    It is the row with the smallest id, null ids last; of rows with that id
+    (or of none but null ids) the one with the smallest MD5 of its text, then
+    any of them, since those have the same text.  Rows with one id and texts
+    that are no near copies are different documents, and each stays.
+    """
+    # Row numbers are fixed by writing them down.
+    rows = cut(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    near = simhash.near_duplicates(rows, "__row").select("__row", "component_id")
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("digest"), "__row")
+    ranked = near.join(rows.select("__row", rank.alias("rank")).hint("merge"), "__row")
+    kept = ranked.groupBy("component_id").agg(F.min("rank")["__row"].alias("__row")).select("__row")
+    return rows.join(kept.hint("merge"), "__row", "left_semi").select(docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark window go."""
-    hit = winnow.decontaminate(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet")).where("n_hit > 0").select("doc_id").distinct()
-    return docs.join(hit.hint("merge"), "doc_id", "left_anti").select(docs.columns)
+    """Documents that hold a benchmark window go; a null id stands for its text."""
+    key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.md5("text")))
+    keyed = docs.withColumn("__key", key)
+    hit = winnow.decontaminate(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), "__key").where("n_hit > 0").select("__key").distinct()
+    return keyed.join(hit.hint("merge"), "__key", "left_anti").select(docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -46,3 +46,23 @@ def test_release_deletes_scratch_tables(spark):
     assert table.count() == 3 and common.release(spark) == 1 and common.release(spark) == 0
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         spark.read.parquet(place).count()
+
+
+def stage_rows(spark, stage, rows):
+    return sorted(((r["doc_id"], r["text"]) for r in stage(spark, spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3), SF).collect()), key=repr)
+
+
+def words(prefix, n=40):
+    return " ".join(f"{prefix}{i}" for i in range(n))
+
+
+def test_near_dedup_keeps_clean_documents_without_id(spark):
+    rows = [(1, words("a")), (None, words("b")), (None, words("c")), (None, words("c")), (None, words("a")), (2, words("a")), (3, words("d"))]
+    expected = [(1, words("a")), (None, words("b")), (None, words("c")), (3, words("d"))]
+    assert stage_rows(spark, corpus_pipeline.drop_near_copies, rows) == sorted(expected, key=repr)
+
+
+def test_decontamination_sees_documents_without_id(spark):
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").first()["text"]
+    rows = [(None, words("a") + " " + item), (None, words("b")), (None, None), (4, item), (5, words("c"))]
+    assert stage_rows(spark, corpus_pipeline.drop_contaminated, rows) == sorted([rows[1], rows[2], rows[4]], key=repr)
