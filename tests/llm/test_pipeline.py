@@ -66,3 +66,9 @@ def test_decontamination_sees_documents_without_id(spark):
     item = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").first()["text"]
     rows = [(None, words("a") + " " + item), (None, words("b")), (None, None), (4, item), (5, words("c"))]
     assert stage_rows(spark, corpus_pipeline.drop_contaminated, rows) == sorted([rows[1], rows[2], rows[4]], key=repr)
+
+
+def test_near_dedup_keeps_one_of_repeated_rows(spark):
+    rows = [(1, words("a")), (1, words("a")), (1, words("b")), (2, words("a")), (5, words("c", 1000) + " x"), (5, words("c", 1000))]
+    out = stage_rows(spark, corpus_pipeline.drop_near_copies, rows)
+    assert len(out) == 3 and out[:2] == [(1, words("a")), (1, words("b"))] and out[2][0] == 5
