@@ -6,38 +6,40 @@ cut into non-overlapping reference blocks of ``BLOCK`` words; since
 So a repeated window's other occurrence meets that block with one of its own
 rolling ``BLOCK``-word windows.
 
-1. Probe: every rolling block hash goes, packed in arrays, to the part that
-   owns its hash; there a reference block is an anchor if another rolling
-   window meets it.
-2. Extend: a document with anchors builds the windows around them; their
-   96-bit hashes go to the parts that own them, which name those that start
-   earlier elsewhere.  Neighbouring windows join up to the maximal repeats.
-3. Remove: the words below those windows go, judged on the input.
-
-Rows of the shuffles are arrays for a (batch, part), never pairs of
-occurrences: a passage with n copies costs n entries.  The text itself is
-shuffled once and that exchange is used twice.  The number of parts follows
-the input's bytes, so each part stays at some megabytes.
+Texts are dealt once to homes, some megabytes each, and that exchange is read
+by three steps; inside a home rows are ordered by id, and a word is addressed
+by its number in the home.
+
+1. Probe: the hash of every rolling block goes to the part that owns it, each
+   distinct hash of a home once.  There a reference block is an anchor if its
+   hash came twice.  Blocks that meet inside their own home are anchors at once.
+2. Extend: the windows around the anchors are told apart by a 128-bit BLAKE2b
+   digest of their words.  Of equal windows of a home all but the first are
+   marked at once; the first goes to the part that owns its digest, which marks
+   those that start earlier in another home.  Neighbouring windows join up to
+   the maximal repeats.
+3. Remove: the words below marked windows go, judged on the input.
+
+Block hashes only propose; a removal rests on the digest of the words.  A
+passage with n copies costs one entry a home, not one a copy, so a passage
+that every document holds weighs no more than others.
 
 Defined cases: null or empty texts have no words, and the kept text is the
 empty string; texts of fewer than ``WINDOW`` words keep all; of rows with equal
 ids neither is earlier at the same start, and positions found in one are never
 applied to another text; a null id is ordered before all others; an empty table
-gives an empty result; other columns are not read.  Ids are integers.
-
-So that rows of one id stay apart, entries carry a tag beside the id: the hash
-of the row's text where the id is null or may be repeated, else zero.  Repeated
-ids are told by a bitmap of fixed size over ``id mod SLOTS``; ids that merely
-share a slot get a tag too, which costs space and changes nothing.
+gives an empty result; other columns are not read, so their names may clash. A
+very long text is worked on alone, with some 50 times its size in memory.  Ids
+are integers.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
-from pyspark import Broadcast
 from pyspark.sql import DataFrame, functions as F
 
 from .common import spread, text_bytes
@@ -45,257 +47,220 @@ from .textkernel import NON_SPACE, U64, Poly, Words, chunks
 
 WINDOW = 20
 BLOCK = 10
-#: UTF-8 bytes of text that one part deals with.
-PART_BYTES = 8 << 20
+#: UTF-8 bytes of text of a home, at least and at most; see ``home_bytes``.
+PART_BYTES, MOST_BYTES = 8 << 20, 64 << 20
 #: Bytes of text that are hashed at a time; working memory is some 50 times this.
 CHUNK_BYTES = 2 << 20
-#: Bits of the broadcast bitmap of repeated ids (8 MB).
-SLOTS = 1 << 26
-_WORD, _GRAM, _OTHER = Poly(31), Poly(32), Poly(33)
+#: Bits of a block hash that its part sees.
+SHORT = 28
+_WORD, _GRAM = Poly(31), Poly(32)
 _LEAST = -(2**63)
 
-
-def _gaps(positions: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """First position of each document, then differences."""
-    out = np.diff(positions, prepend=0)
-    starts = (np.cumsum(counts) - counts)[counts > 0]
-    out[starts] = positions[starts]
-    return out.astype("<u4")
-
-
-def _positions(gaps: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    sums = np.cumsum(gaps.astype(np.int64))
-    starts = (np.cumsum(counts) - counts)[counts > 0]
-    return sums - np.repeat(sums[starts] - gaps[starts], counts[counts > 0])
-
-
-def _planes(values: np.ndarray, width: int) -> bytes:
-    """Byte planes: the high ones are nearly all zero and so compress away."""
-    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), -1)[:, :width].T).tobytes()
-
-
-def _unplanes(data: bytes, width: int, dtype: str) -> np.ndarray:
-    raw = np.frombuffer(data, np.uint8).reshape(width, -1)
-    out = np.zeros((raw.shape[1], np.dtype(dtype).itemsize), np.uint8)
-    out[:, :width] = raw.T
-    return out.view(dtype).ravel()
+_PROBES = {"part": pa.int32(), "home": pa.int32(), "at": pa.binary(), "asked": pa.binary(), "others": pa.binary(), "known": pa.binary()}
+_WINDOWS = {"part": pa.int32(), "home": pa.int32(), "at": pa.binary(), "ids": pa.binary(), "counts": pa.binary(), "bases": pa.binary(), "digests": pa.binary(), "known": pa.binary()}
+_MARKS = {"home": pa.int32(), "at": pa.binary()}
 
 
-def _packed(part: int, home: int, keys: np.ndarray, doc: np.ndarray, position: np.ndarray, hashes: bytes) -> dict:
-    """One row: entries of one part, in the order of documents and positions."""
-    docs, counts = np.unique(doc, return_counts=True)
-    ids, tags = keys[docs, 0].astype("<i8"), keys[docs, 1].astype("<i8")
-    return {"part": part, "home": home, "ids": ids.tobytes(), "tags": tags.tobytes() if tags.any() else b"", "counts": counts.astype("<u4").tobytes(), "gaps": _planes(_gaps(position, counts), 4), "hashes": hashes}
+def _ddl(columns: dict) -> str:
+    return ", ".join(f"{c} {'int' if t == pa.int32() else 'binary'}" for c, t in columns.items())
 
 
-def _opened(row: dict) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """keys, counts, positions of a row."""
-    counts = np.frombuffer(row["counts"], "<u4").astype(np.int64)
-    keys = np.zeros((len(counts), 2), np.int64)
-    keys[:, 0] = np.frombuffer(row["ids"], "<i8")
-    if row["tags"]:
-        keys[:, 1] = np.frombuffer(row["tags"], "<i8")
-    return keys, counts, _positions(_unplanes(row["gaps"], 4, "<u4"), counts)
+def _table(rows: list[dict], columns: dict) -> pa.Table:
+    return pa.Table.from_arrays([pa.array([r.get(c) for r in rows], t) for c, t in columns.items()], names=list(columns))
 
 
-_ROW = "part int, home int, ids binary, tags binary, counts binary, gaps binary, hashes binary"
+def home_bytes(total: int, least: int = PART_BYTES) -> int:
+    """Bytes of text a home: with n homes there are up to n * n packed rows, which should stay of some size."""
+    return max(least, min(MOST_BYTES, int((1536 * total) ** 0.5)))
 
 
-def _batch(rows: list[dict]) -> pa.RecordBatch:
-    columns = {"part": pa.int32(), "home": pa.int32(), "ids": pa.binary(), "tags": pa.binary(), "counts": pa.binary(), "gaps": pa.binary(), "hashes": pa.binary()}
-    return pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], t) for k, t in columns.items()], names=list(columns))
+# -- packing: byte planes, whose high ones are nearly all zero and so compress away
+def _planes(values: np.ndarray) -> bytes:
+    return np.ascontiguousarray(values.view(np.uint8).reshape(len(values), values.itemsize).T).tobytes()
 
 
-def _keys(rows: pa.RecordBatch, repeated: np.ndarray) -> np.ndarray:
-    """(id, tag) of each row; only rows with equal ids and texts share one."""
-    ids = rows.column("_id").cast(pa.int64()).fill_null(_LEAST).to_numpy(zero_copy_only=False)
-    slot = ids & (SLOTS - 1)
-    told = (repeated[slot >> 3] >> (slot & 7).astype(np.uint8)) & 1 == 1
-    return np.stack([ids, np.where(told | (ids == _LEAST), rows.column("_print").to_numpy(zero_copy_only=False), 0)], axis=1)
+def _unplanes(data: bytes, dtype: str) -> np.ndarray:
+    width = np.dtype(dtype).itemsize
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(width, -1).T).view(dtype).ravel()
 
 
-def _repeated(docs: DataFrame) -> np.ndarray:
-    """Bitmap of the slots that more than one row's id falls into."""
-    slots = docs.where(F.col("_id") != _LEAST).groupBy(F.pmod("_id", F.lit(SLOTS)).alias("slot")).count().where("count > 1").select((F.col("slot") + 1).alias("slot"))
-    found = slots.groupBy(F.bitmap_bucket_number("slot").alias("n")).agg(F.bitmap_construct_agg(F.bitmap_bit_position("slot")).alias("bits"))
-    out = np.zeros(SLOTS // 8, np.uint8)
-    for r in found.toLocalIterator():
-        bits = np.frombuffer(bytes(r["bits"]), np.uint8)
-        out[(r["n"] - 1) * len(bits) : r["n"] * len(bits)] = bits
-    return out
+def _pack(rising: np.ndarray) -> bytes:
+    """Rising 32-bit numbers as differences."""
+    return _planes(np.diff(rising, prepend=0).astype("<u4"))
 
 
-def _home(ids: np.ndarray, parts: int) -> np.ndarray:
-    """The part that holds a document's text; ``remove_repeats`` has the same rule as a column."""
-    return (ids ^ (ids >> 9)) % parts
+def _unpack(data: bytes) -> np.ndarray:
+    return np.cumsum(_unplanes(data, "<u4").astype(np.int64))
 
 
-def _split(values: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
-    """(part, indices in their order) for each part that has any."""
-    order = np.argsort(values.astype(np.uint16 if parts < 65_536 else np.int64), kind="stable")
-    edges = np.searchsorted(values[order], np.arange(parts + 1))
+def _split(parts_of: np.ndarray, parts: int) -> Iterator[tuple[int, slice]]:
+    """(part, slice) for each part that has any, of part numbers in rising order."""
+    edges = np.searchsorted(parts_of, np.arange(parts + 1))
     for p in np.flatnonzero(np.diff(edges)):
-        yield int(p), order[edges[p] : edges[p + 1]]
+        yield int(p), slice(int(edges[p]), int(edges[p + 1]))
 
 
-def _rows_of(part_of: np.ndarray, parts: int, keys: np.ndarray, doc: np.ndarray, position: np.ndarray, hashed) -> list[dict]:
-    return [_packed(p, 0, keys, doc[at], position[at], hashed(at)) for p, at in _split(part_of, parts)]
+# -- texts of a home
+def _ids(column: pa.ChunkedArray) -> np.ndarray:
+    return column.cast(pa.int64()).fill_null(_LEAST).to_numpy(zero_copy_only=False)
 
 
-def _edges(keys: np.ndarray) -> np.ndarray:
-    """Where runs of equal keys begin, and the end."""
-    fresh = np.flatnonzero((keys[1:] != keys[:-1]).any(axis=1)) + 1
-    return np.concatenate([[0], fresh, [len(keys)]]) if len(keys) else np.zeros(1, np.int64)
+def _pieces(home: pa.Table) -> Iterator[tuple[int, pa.RecordBatch, Words]]:
+    """(number of its first word, rows, words) of the runs of a home's rows, in the order of ids and texts."""
+    batch = home.combine_chunks().to_batches()
+    if not batch:
+        return
+    rows = batch[0]
+    rows = rows.take(pa.array(np.lexsort((rows.column("_print").to_numpy(zero_copy_only=False), _ids(rows.column("_name"))))))
+    row = first = 0
+    for names, buf, offsets in chunks([rows], ["_name", "_text"], CHUNK_BYTES):
+        words = Words(buf, offsets, NON_SPACE, _WORD)
+        yield first, rows.slice(row, len(names)), words
+        row, first = row + len(names), first + len(words.starts)
 
 
-def _answers(hit: np.ndarray, opened: list, parts: int) -> pa.RecordBatch:
-    """The entries that hit, packed for the homes of their documents."""
-    keys = np.concatenate([np.repeat(k, c, axis=0) for k, c, _ in opened])[hit]
-    position = np.concatenate([p for _, _, p in opened])[hit]
-    order = np.lexsort((position, keys[:, 1], keys[:, 0]))
-    keys, position = keys[order], position[order]
-    edges = _edges(keys)
-    names, doc = keys[edges[:-1]], np.repeat(np.arange(len(edges) - 1), np.diff(edges))
-    home = _home(names[:, 0], parts)[doc]
-    return _batch([_packed(0, h, names, doc[at], position[at], b"") for h, at in _split(home, parts)])
+def _joined(arrays: Iterable[np.ndarray], dtype=np.int64) -> np.ndarray:
+    return np.concatenate([np.zeros(0, dtype), *arrays])
 
 
-def _probe(docs: DataFrame, parts: int, repeated: Broadcast) -> DataFrame:
-    """Every rolling block of every document, to the part of its hash."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for rows, words in _texts(batches):
-            starts = words.whole(BLOCK)
-            doc = words.text_of(starts)
-            long = words.counts[doc] >= WINDOW
-            starts, doc = starts[long], doc[long]
-            grams = words.grams(BLOCK, _GRAM)[starts] if len(starts) else np.zeros(0, U64)
-            short = (grams & U64(0xFFFFFF)).astype("<u4")
-            yield _batch(_rows_of(((grams >> U64(32)) % U64(parts)).astype(np.int64), parts, _keys(rows, repeated.value), doc, starts - words.bounds[doc], lambda at: _planes(short[at], 3)))
-
-    return docs.select("_id", "_print", "_text").mapInArrow(run, _ROW)
-
-
-def _anchors(probes: DataFrame, parts: int) -> DataFrame:
-    """Reference blocks that a rolling block elsewhere meets.
-
-    Every repeated window holds a whole reference block of its own document,
-    and that block is met, so the windows around these are all candidates.
-    """
-
-    def run(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        opened = [_opened(r) for r in rows]
-        hashes = np.concatenate([_unplanes(r["hashes"], 3, "<u4") for r in rows])
-        aligned = np.concatenate([p % BLOCK == 0 for _, _, p in opened])
-        order = np.argsort(hashes, kind="stable")
-        ranked = hashes[order]
-        alone = np.ones(len(ranked), bool)
-        alone[1:] = ranked[1:] != ranked[:-1]
-        alone[:-1] &= ranked[:-1] != ranked[1:]
-        repeated = np.zeros(len(ranked), bool)
-        repeated[order] = ~alone
-        return pa.Table.from_batches([_answers(aligned & repeated, opened, parts)])
-
-    return probes.groupBy("part").applyInArrow(run, _ROW)
-
-
-def _marks(rows: list[dict]) -> dict[tuple[int, int], np.ndarray]:
-    """Document key to its positions."""
-    if not rows:
-        return {}
-    opened = [_opened(r) for r in rows]
-    keys, positions = np.concatenate([np.repeat(k, c, axis=0) for k, c, _ in opened]), np.concatenate([p for _, _, p in opened])
-    order = np.lexsort((positions, keys[:, 1], keys[:, 0]))
-    keys, positions = keys[order], positions[order]
-    edges = _edges(keys)
-    return dict(zip(map(tuple, keys[edges[:-1]].tolist()), np.split(positions, edges[1:-1]), strict=True)) if len(keys) else {}
-
-
-def _texts(batches: Iterable[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, Words]]:
-    for batch in batches:
-        row = 0
-        for ids, buf, offsets in chunks([batch], ["_id", "_text"], CHUNK_BYTES):
-            yield batch.slice(row, len(ids)), Words(buf, offsets, NON_SPACE, _WORD)
-            row += len(ids)
-
-
-def _windows(table: pa.Table, anchors: pa.Table, parts: int, repeated: np.ndarray) -> pa.Table:
-    """Windows around the anchors, to the part of their hash."""
-    marks, out = _marks(anchors.to_pylist()), []
-    for rows, words in _texts(table.to_batches()):
-        keys = _keys(rows, repeated)
-        held = [(d, marks[k]) for d, k in enumerate(map(tuple, keys.tolist())) if k in marks]
-        if not held:
-            continue
-        at = np.concatenate([m + words.bounds[d] for d, m in held])
-        starts = np.unique((at[:, None] - np.arange(WINDOW - BLOCK)[None, :]).ravel())
-        starts = np.intersect1d(starts, words.whole(WINDOW), assume_unique=True)
-        if not len(starts):
-            continue
+def _probe(home: int, table: pa.Table, parts: int) -> pa.Table:
+    """The home's distinct block hashes, to the parts that own them."""
+    keys, places, blocks = [], [], []
+    for first, _, words in _pieces(table):
+        starts = words.whole(BLOCK)
         doc = words.text_of(starts)
-        one, two = words.grams(WINDOW, _GRAM)[starts], words.grams(WINDOW, _OTHER)[starts]
-        wide = np.zeros((len(one), 12), np.uint8)
-        wide[:, :8] = one.astype("<u8").view(np.uint8).reshape(-1, 8)
-        wide[:, 8:] = two.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :4]
-        out += _rows_of((two >> U64(32)).astype(np.int64) % parts, parts, keys, doc, starts - words.bounds[doc], lambda at, wide=wide: wide[at].tobytes())
-    return pa.Table.from_batches([_batch(out)])
-
-
-def _later(windows: DataFrame, parts: int) -> DataFrame:
-    """Windows whose words start earlier somewhere."""
-
-    def run(table: pa.Table) -> pa.Table:
-        rows = table.to_pylist()
-        opened = [_opened(r) for r in rows]
-        wide = np.concatenate([np.frombuffer(r["hashes"], np.uint8) for r in rows]).reshape(-1, 12)
-        one, two = np.ascontiguousarray(wide[:, :8]).view("<u8").ravel(), np.ascontiguousarray(wide[:, 8:]).view("<u4").ravel()
-        ids = np.concatenate([np.repeat(k[:, 0], c) for k, c, _ in opened])
-        position = np.concatenate([p for _, _, p in opened])
-        order = np.lexsort((position, ids, two, one))
-        fresh = np.ones(len(order), bool)
-        fresh[1:] = (np.diff(one[order]) != 0) | (np.diff(two[order]) != 0)
-        first = order[np.flatnonzero(fresh)][np.cumsum(fresh) - 1]
+        long = words.counts[doc] >= WINDOW
+        starts, doc = starts[long], doc[long]
+        if len(starts):
+            grams = words.grams(BLOCK, _GRAM)[starts]
+            keys.append(((grams >> U64(SHORT)) % U64(parts)) << U64(SHORT) | grams & U64((1 << SHORT) - 1))
+            places.append(starts + first)
+            blocks.append((starts - words.bounds[doc]) % BLOCK == 0)
+    key, at, block = _joined(keys, U64), _joined(places), _joined(blocks, bool)
+    order = np.argsort(key, kind="stable")
+    key, at, block = key[order].astype(np.int64), at[order], block[order]
+    fresh = np.ones(len(key), bool)
+    fresh[1:] = key[1:] != key[:-1]
+    alone = fresh & np.append(fresh[1:], True)
+    rows = {p: {"part": p, "home": home, "at": b"", "asked": b"", "others": b""} for p in range(parts)}
+    asks, part = alone & block, key >> SHORT
+    mask = (1 << SHORT) - 1
+    for p, s in _split(part[asks], parts):
+        rows[p] |= {"at": _planes(at[asks][s].astype("<u4")), "asked": _pack(key[asks][s] & mask)}
+    for p, s in _split(part[fresh & ~asks], parts):
+        rows[p] |= {"others": _pack(key[fresh & ~asks][s] & mask)}
+    # Blocks that were met in this home need no answer.
+    rows[home % parts]["known"] = _pack(np.sort(at[block & ~alone]))
+    return _table([r for r in rows.values() if r["asked"] or r["others"] or r.get("known")], _PROBES)
+
+
+def _anchors(table: pa.Table) -> pa.Table:
+    """Per home the reference blocks whose hash came from another one as well."""
+    rows = table.to_pylist()
+    asked = [_unpack(r["asked"]) for r in rows]
+    every = np.sort(np.concatenate([*asked, *(_unpack(r["others"]) for r in rows)]).astype(np.uint32))
+    twice = np.unique(every[1:][every[1:] == every[:-1]])
+    out = []
+    for r, hashes in zip(rows, asked, strict=True):
+        near = np.searchsorted(twice, hashes.astype(np.uint32))
+        hit = twice[np.minimum(near, len(twice) - 1)] == hashes if len(twice) else np.zeros(len(hashes), bool)
+        marks = np.sort(_unplanes(r["at"], "<u4")[hit].astype(np.int64))
+        out += [{"home": r["home"], "at": a} for a in (_pack(marks), r["known"]) if a]
+    return _table(out, _MARKS)
+
+
+def _marks(table: pa.Table) -> np.ndarray:
+    return np.unique(_joined(_unpack(x) for x in table.column("at").to_pylist()))
+
+
+def _digests(words: Words, starts: np.ndarray) -> np.ndarray:
+    """Digest of the words of each window, one space between them."""
+    data, begins, ends = words.spaced()
+    return np.frombuffer(b"".join([blake2b(data[a:b], digest_size=16).digest() for a, b in zip(begins[starts].tolist(), ends[starts + WINDOW - 1].tolist(), strict=True)]), "<u8").reshape(-1, 2)
+
+
+def _windows(home: int, table: pa.Table, anchors: pa.Table, parts: int) -> pa.Table:
+    """Windows around the anchors: the first of each kind to the part of its digest, the others as marks."""
+    marks, found, before = _marks(anchors), [], 0
+    for first, rows, words in _pieces(table):
+        at = marks[np.searchsorted(marks, first) : np.searchsorted(marks, first + len(words.starts))] - first
+        starts = at[:, None] - np.arange(WINDOW - BLOCK)[None, :]
+        starts = np.unique(starts[starts >= words.bounds[words.text_of(at)][:, None]])
+        starts = np.intersect1d(starts, words.whole(WINDOW), assume_unique=True)
+        if len(starts):
+            doc = words.text_of(starts)
+            found.append((starts + first, doc + before, _ids(rows.column("_name"))[doc], words.bounds[doc] + first, _digests(words, starts)))
+        before += rows.num_rows
+    if not found:
+        return _table([], _WINDOWS)
+    at, doc, ids, base, digest = (np.concatenate(x) for x in zip(*found, strict=True))
+    order, first = _first_of_kind(digest, ids, at - base)
+    earlier = (ids[order] == ids[first]) & (at[order] - base[order] == at[first] - base[first])
+    # First of its kind: to the owner, in the order of words.
+    asks = np.sort(order[earlier])
+    part = (digest[asks, 1] % U64(parts)).astype(np.int64)
+    asks = asks[np.argsort(part, kind="stable")]
+    rows = {home % parts: {"part": home % parts, "home": home, "known": _pack(np.sort(at[order[~earlier]]))}}
+    for p, s in _split(np.sort(part), parts):
+        own = asks[s]
+        edges = np.flatnonzero(np.diff(doc[own], prepend=-1))
+        lead = own[edges]
+        rows.setdefault(p, {"part": p, "home": home})
+        rows[p] |= {"at": _pack(at[own]), "ids": _planes(np.diff(ids[lead], prepend=0)), "counts": np.diff(edges, append=len(own)).astype("<u4").tobytes(), "bases": _pack(base[lead]), "digests": digest[own].tobytes()}
+    return _table(list(rows.values()), _WINDOWS)
+
+
+def _first_of_kind(digest: np.ndarray, ids: np.ndarray, position: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Indices ordered by digest, id and position, and for each of them the first index of its digest."""
+    order = np.lexsort((position, ids, digest[:, 1], digest[:, 0]))
+    fresh = np.ones(len(order), bool)
+    fresh[1:] = (digest[order[1:]] != digest[order[:-1]]).any(axis=1)
+    return order, order[np.flatnonzero(fresh)][np.cumsum(fresh) - 1]
+
+
+def _later(table: pa.Table) -> pa.Table:
+    """Per home the windows whose words start earlier in another one, and the marks that it sent along."""
+    rows = table.to_pylist()
+    out = [{"home": r["home"], "at": r["known"]} for r in rows if r["known"]]
+    rows = [r for r in rows if r["at"]]
+    if rows:
+        at, counts = [_unpack(r["at"]) for r in rows], [np.frombuffer(r["counts"], "<u4").astype(np.int64) for r in rows]
+        ids = np.concatenate([np.repeat(np.cumsum(_unplanes(r["ids"], "<i8")), c) for r, c in zip(rows, counts, strict=True)])
+        base = np.concatenate([np.repeat(_unpack(r["bases"]), c) for r, c in zip(rows, counts, strict=True)])
+        position = np.concatenate(at) - base
+        order, first = _first_of_kind(np.concatenate([np.frombuffer(r["digests"], "<u8").reshape(-1, 2) for r in rows]), ids, position)
         hit = np.zeros(len(order), bool)
         hit[order] = (ids[order] != ids[first]) | (position[order] != position[first])
-        return pa.Table.from_batches([_answers(hit, opened, parts)])
-
-    return windows.groupBy("part").applyInArrow(run, _ROW)
-
-
-def _covered(words: Words, keys: np.ndarray, marks: dict[tuple[int, int], np.ndarray]) -> np.ndarray:
-    """For each word whether a marked window covers it."""
-    edge = np.zeros(len(words.starts) + 1, np.int64)
-    for d, k in enumerate(map(tuple, keys.tolist())):
-        if k in marks:
-            at = marks[k] + words.bounds[d]
-            np.add.at(edge, at, 1)
-            np.add.at(edge, at + WINDOW, -1)
-    return np.cumsum(edge[:-1]) > 0
+        for r, own, gone in zip(rows, at, np.split(hit, np.cumsum([len(a) for a in at])[:-1]), strict=True):
+            if gone.any():
+                out.append({"home": r["home"], "at": _pack(own[gone])})
+    return _table(out, _MARKS)
 
 
 def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", part_bytes: int = PART_BYTES) -> DataFrame:
     """(id, n_words, n_removed, kept_text) of every row; kept words are joined by one space."""
-    parts = spread(text_bytes(docs, text_column), part_bytes)
+    total = text_bytes(docs, text_column)
+    parts = spread(total, home_bytes(total, part_bytes))
     kind = docs.schema[id_column].dataType.simpleString()
-    key = F.coalesce(F.col(id_column).cast("bigint"), F.lit(_LEAST))
-    plain = docs.select(F.col(id_column).alias("_name"), key.alias("_id"), F.xxhash64(text_column).alias("_print"), F.col(text_column).alias("_text"))
-    repeated = docs.sparkSession.sparkContext.broadcast(_repeated(plain.select("_id")))
-    # One exchange of the text, used by both cogroups below.
-    texts = plain.withColumn("home", F.pmod(F.col("_id").bitwiseXOR(F.shiftright("_id", 9)), F.lit(parts)).cast("int"))
-    anchors = _anchors(_probe(plain, parts, repeated), parts)
-    windows = texts.groupBy("home").cogroup(anchors.groupBy("home")).applyInArrow(lambda text, marks: _windows(text, marks, parts, repeated.value), _ROW)
-    later = _later(windows, parts)
+    plain = docs.select(F.col(id_column).alias("_name"), F.xxhash64(text_column).alias("_print"), F.col(text_column).alias("_text"))
+    # One exchange of the text, used by all three steps; rows of one id are dealt by their texts.
+    texts = plain.withColumn("home", F.pmod(F.xxhash64("_name", "_print"), F.lit(parts)).cast("int")).groupBy("home")
+    probes = texts.applyInArrow(lambda key, table: _probe(key[0].as_py(), table, parts), _ddl(_PROBES))
+    anchors = probes.groupBy("part").applyInArrow(_anchors, _ddl(_MARKS))
+    windows = texts.cogroup(anchors.groupBy("home")).applyInArrow(lambda key, table, marks: _windows(key[0].as_py(), table, marks, parts), _ddl(_WINDOWS))
+    later = windows.groupBy("part").applyInArrow(_later, _ddl(_MARKS))
 
     def remove(table: pa.Table, later: pa.Table) -> pa.Table:
-        marks, out = _marks(later.to_pylist()), []
-        for rows, words in _texts(table.to_batches()):
-            gone = _covered(words, _keys(rows, repeated.value), marks)
-            left = np.add.reduceat(np.append(gone, False), np.minimum(words.bounds[:-1], len(gone)), dtype=np.int64) if len(gone) else np.zeros(rows.num_rows, np.int64)
-            left[words.counts == 0] = 0
-            out.append(pa.RecordBatch.from_arrays([rows.column("_name"), pa.array(words.counts, pa.int64()), pa.array(left, pa.int64()), pa.array(words.joined(~gone), pa.string())], names=[id_column, "n_words", "n_removed", "kept_text"]))
+        marks, out = _marks(later), []
+        for first, rows, words in _pieces(table):
+            at = marks[np.searchsorted(marks, first) : np.searchsorted(marks, first + len(words.starts))] - first
+            edge = np.zeros(len(words.starts) + 1, np.int64)
+            edge[at] += 1
+            edge[at + WINDOW] -= 1
+            gone = np.cumsum(edge[:-1]) > 0
+            sums = np.concatenate([[0], np.cumsum(gone)])[words.bounds]
+            out.append(pa.RecordBatch.from_arrays([rows.column("_name"), pa.array(words.counts, pa.int64()), pa.array(np.diff(sums), pa.int64()), pa.array(words.joined(~gone), pa.string())], names=[id_column, "n_words", "n_removed", "kept_text"]))
         schema = pa.schema([(id_column, table.schema.field("_name").type), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_text", pa.string())])
         return pa.Table.from_batches(out, schema)
 
-    schema = f"`{id_column}` {kind}, n_words bigint, n_removed bigint, kept_text string"
-    return texts.groupBy("home").cogroup(later.groupBy("home")).applyInArrow(remove, schema)
+    return texts.cogroup(later.groupBy("home")).applyInArrow(remove, f"`{id_column}` {kind}, n_words bigint, n_removed bigint, kept_text string")

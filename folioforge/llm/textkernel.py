@@ -121,15 +121,20 @@ class Words:
         """Index of the text that holds each word index."""
         return np.searchsorted(self.bounds, words, side="right") - 1
 
+    def spaced(self, at: np.ndarray | slice = slice(None)) -> tuple[bytes, np.ndarray, np.ndarray]:
+        """The words one after the other, one space behind each; their starts and ends in that."""
+        starts, sizes = self.starts[at], self.ends[at] - self.starts[at] + 1
+        ends = np.cumsum(sizes)
+        # A word's bytes and the one behind it, which becomes the space.
+        data = np.append(self.buf, np.uint8(0x20))[np.repeat(starts - (ends - sizes), sizes) + np.arange(ends[-1] if len(ends) else 0)]
+        data[ends - 1] = 0x20
+        return data.tobytes(), ends - sizes, ends - 1
+
     def joined(self, keep: np.ndarray) -> list[str]:
         """For each text its kept words, joined by one space."""
         at = np.flatnonzero(keep)
-        sizes = self.ends[at] - self.starts[at] + 1
-        data = np.append(self.buf, np.uint8(0x20))[np.repeat(self.starts[at], sizes) + positions_in_group(sizes)]
-        ends = np.cumsum(sizes)
-        data[ends - 1] = 0x20
-        stops = np.concatenate([[0], ends])[np.searchsorted(at, self.bounds)]
-        whole = data.tobytes()
+        whole, _, ends = self.spaced(at)
+        stops = np.concatenate([[0], ends + 1])[np.searchsorted(at, self.bounds)]
         return [whole[a : max(a, b - 1)].decode() for a, b in zip(stops[:-1].tolist(), stops[1:].tolist(), strict=True)]
 
 

@@ -212,3 +212,41 @@ def test_rows_of_one_id_keep_apart(spark, ids, key):
     for part_bytes in (500, 1 << 20):
         same(substring.remove_repeats(df, part_bytes=part_bytes), ["doc_id", "n_words", "n_removed", "kept_text"], brute.remove_repeats(rows))
     same(linededup.dedup_lines(df), ["doc_id", "n_lines", "n_dropped", "text"], brute.dedup_lines(rows))
+
+
+def test_substring_compares_words(spark):
+    """Words that a polynomial hash modulo 2**64 cannot tell apart, whatever its base."""
+    one, two = "a", "b"
+    for _ in range(10):
+        one, two = one + two, two + one
+    shared = [f"w{i}" for i in range(10)]
+    rows = [(1, " ".join([*shared, one, *shared])), (2, " ".join([*shared, two, *shared]))]
+    got = substring.remove_repeats(spark.createDataFrame(rows, "doc_id bigint, text string"))
+    assert {r["doc_id"]: r["n_removed"] for r in got.collect()} == {1: 0, 2: 0}
+
+
+def test_substring_one_passage_in_every_document(spark):
+    rng = random.Random(2)
+    passage = " ".join(f"p{i}" for i in range(60))
+    rows = [(i << 20, " ".join(f"x{rng.randrange(10**6)}" for _ in range(40)) + " " + passage + f" end{i}") for i in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    same(substring.remove_repeats(docs, part_bytes=20_000), ["doc_id", "n_words", "n_removed", "kept_text"], brute.remove_repeats(rows))
+
+
+def test_substring_hot_block_costs_an_entry_a_home():
+    """What a part gets of a passage does not grow with the copies in a home, and ids that share low bits spread out."""
+    import numpy as np
+    import pyarrow as pa
+
+    passage = " ".join(f"p{i}" for i in range(30))
+    sizes = []
+    for n in (50, 800):
+        table = pa.table({"_name": np.arange(n), "_print": np.arange(n), "_text": [passage] * n})
+        probes = substring._probe(3, table, 1)
+        sizes.append(sum(len(x) for c in ("asked", "others") for x in probes.column(c).to_pylist() if x))
+    assert sizes[0] == sizes[1]
+
+
+def test_home_bytes():
+    assert substring.home_bytes(1 << 30) == 8 << 20 and substring.home_bytes(100 << 40) == 64 << 20
+    assert substring.home_bytes(10**6, 500) >= 500
