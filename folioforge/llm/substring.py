@@ -143,12 +143,13 @@ def _probe(home: int, table: pa.Table, parts: int) -> pa.Table:
     fresh[1:] = key[1:] != key[:-1]
     alone = fresh & np.append(fresh[1:], True)
     rows = {p: {"part": p, "home": home, "at": b"", "asked": b"", "others": b""} for p in range(parts)}
-    asks, part = alone & block, key >> SHORT
+    asks = alone & block
+    mine, whose, rest = at[asks].astype("<u4"), key[asks], key[fresh & ~asks]
     mask = (1 << SHORT) - 1
-    for p, s in _split(part[asks], parts):
-        rows[p] |= {"at": _planes(at[asks][s].astype("<u4")), "asked": _pack(key[asks][s] & mask)}
-    for p, s in _split(part[fresh & ~asks], parts):
-        rows[p] |= {"others": _pack(key[fresh & ~asks][s] & mask)}
+    for p, s in _split(whose >> SHORT, parts):
+        rows[p] |= {"at": _planes(mine[s]), "asked": _pack(whose[s] & mask)}
+    for p, s in _split(rest >> SHORT, parts):
+        rows[p] |= {"others": _pack(rest[s] & mask)}
     # Blocks that were met in this home need no answer.
     rows[home % parts]["known"] = _pack(np.sort(at[block & ~alone]))
     return _table([r for r in rows.values() if r["asked"] or r["others"] or r.get("known")], _PROBES)
