@@ -19,6 +19,11 @@ def tokenizer_path(name: str = TOKENIZER) -> str:
     return public_tokenizers.path(name)
 
 
+def _compact(digests: DataFrame) -> DataFrame:
+    """A few digests a row: dealt anew into partitions of the advisory size, so that no task writes a tiny file."""
+    return digests.hint("rebalance")
+
+
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
@@ -49,7 +54,7 @@ def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op7_substring(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = substring.remove_repeats(_table(spark, sf_dir, "documents"))
-    return out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256"))
+    return _compact(out.select("doc_id", "n_words", "n_removed", F.sha2("kept_text", 256).alias("kept_sha256")))
 
 
 def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -241,15 +241,15 @@ def _later(table: pa.Table) -> pa.Table:
 def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", part_bytes: int = PART_BYTES) -> DataFrame:
     """(id, n_words, n_removed, kept_text) of every row; kept words are joined by one space."""
     total = text_bytes(docs, text_column)
-    parts = spread(total, home_bytes(total, part_bytes))
+    parts = spread(total, home_bytes(total, part_bytes), 2)
     kind = docs.schema[id_column].dataType.simpleString()
     plain = docs.select(F.col(id_column).alias("_name"), F.xxhash64(text_column).alias("_print"), F.col(text_column).alias("_text"))
     # One exchange of the text, used by all three steps; rows of one id are dealt by their texts.
-    texts = plain.withColumn("home", F.pmod(F.xxhash64("_name", "_print"), F.lit(parts)).cast("int")).groupBy("home")
+    texts = plain.withColumn("home", F.pmod(F.xxhash64("_name", "_print"), F.lit(parts)).cast("int")).repartitionById(parts, "home").groupBy("home")
     probes = texts.applyInArrow(lambda key, table: _probe(key[0].as_py(), table, parts), _ddl(_PROBES))
-    anchors = probes.groupBy("part").applyInArrow(_anchors, _ddl(_MARKS))
-    windows = texts.cogroup(anchors.groupBy("home")).applyInArrow(lambda key, table, marks: _windows(key[0].as_py(), table, marks, parts), _ddl(_WINDOWS))
-    later = windows.groupBy("part").applyInArrow(_later, _ddl(_MARKS))
+    anchors = probes.repartitionById(parts, "part").groupBy("part").applyInArrow(_anchors, _ddl(_MARKS))
+    windows = texts.cogroup(anchors.repartitionById(parts, "home").groupBy("home")).applyInArrow(lambda key, table, marks: _windows(key[0].as_py(), table, marks, parts), _ddl(_WINDOWS))
+    later = windows.repartitionById(parts, "part").groupBy("part").applyInArrow(_later, _ddl(_MARKS))
 
     def remove(table: pa.Table, later: pa.Table) -> pa.Table:
         marks, out = _marks(later), []
@@ -264,4 +264,4 @@ def remove_repeats(docs: DataFrame, id_column: str = "doc_id", text_column: str
         schema = pa.schema([(id_column, table.schema.field("_name").type), ("n_words", pa.int64()), ("n_removed", pa.int64()), ("kept_text", pa.string())])
         return pa.Table.from_batches(out, schema)
 
-    return texts.cogroup(later.groupBy("home")).applyInArrow(remove, f"`{id_column}` {kind}, n_words bigint, n_removed bigint, kept_text string")
+    return texts.cogroup(later.repartitionById(parts, "home").groupBy("home")).applyInArrow(remove, f"`{id_column}` {kind}, n_words bigint, n_removed bigint, kept_text string")
