@@ -7,9 +7,12 @@ what applying the merges in rank order gives, in time linear in the word.
 Decoder: one byte blob of all token strings and an offset table.
 
 Defined cases: a null text counts as empty; an empty text has no ids and
-decodes to the empty string; repeated rows are encoded alike; other columns
-of the input are not read.  Characters newer than Python's own Unicode tables
-count as neither letters nor digits.
+decodes to the empty string; repeated rows are encoded alike; an empty table
+gives an empty result; other columns of the input are not read, so their names
+may clash.  A text of more than ``LONG`` characters is cut at blanks, which no
+token crosses, so memory is bounded by ``LONG`` or the longest run without a
+blank.  Texts with characters that Python's Unicode tables do not know are
+normalised and cut into pre-tokens by the library's own tables.
 """
 
 from __future__ import annotations
@@ -17,6 +20,7 @@ from __future__ import annotations
 import functools
 import hashlib
 import json
+import re
 import unicodedata
 from array import array
 from collections.abc import Iterator
@@ -24,12 +28,17 @@ from collections.abc import Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 
 from .textkernel import U64, Poly, positions_in_group
 
 _SUFFIX = "</w>"
+#: A text of more characters is encoded in pieces; so many rows or bytes of text are encoded at a time.
+LONG, ROWS, BYTES = 1 << 20, 128, 1 << 20
+#: Bounds of a worker's caches: words, their units, and pairs of tokens.
+WORDS, UNITS, PAIRS = 700_000, 16 << 20, 1_000_000
 
 
 def _byte_letters() -> list[str]:
@@ -45,8 +54,9 @@ class WordTable:
     Look-ups are whole-array operations; a full table is emptied.
     """
 
-    def __init__(self, most: int):
-        self.most, self.mask = most, (1 << (2 * most).bit_length()) - 1
+    def __init__(self, most: int, most_units: int = UNITS):
+        self.most, self.most_units = most, most_units
+        self.mask = (1 << (2 * most).bit_length()) - 1
         self.clear()
 
     def clear(self) -> None:
@@ -55,6 +65,9 @@ class WordTable:
         self.unit_ends, self.id_ends = np.zeros(self.most + 1, np.int64), np.zeros(self.most + 1, np.int64)
         self.units, self.ids = np.zeros(1 << 16, np.uint16), np.zeros(1 << 16, np.uint32)
 
+    def has_room(self, words: int, units: int) -> bool:
+        return self.count + words <= self.most and int(self.unit_ends[self.count]) + units <= self.most_units
+
     def find(self, keys: np.ndarray) -> np.ndarray:
         """Entry of each key, or -1."""
         out, todo, at = np.full(len(keys), -1, np.int32), np.arange(len(keys)), (keys & U64(self.mask)).astype(np.int64)
@@ -90,15 +103,28 @@ class WordTable:
             todo, at = todo[rest], (at[rest] + 1) & self.mask
 
 
+#: Class of characters that Python's Unicode tables do not know.
+_NEW = 4
+
+
 def _classes() -> np.ndarray:
-    """0 blank, 1 letter, 2 number, 3 other for each 16-bit code unit."""
+    """0 blank, 1 letter, 2 number, 3 other, 4 unknown for each 16-bit code unit."""
     out = np.full(1 << 16, 3, np.uint8)
     every = "".join(chr(c) for c in range(1 << 16) if not 0xD800 <= c < 0xE000)
     for kind, pattern in enumerate((r"\p{White_Space}", r"\p{L}", r"\p{N}")):
         out[[ord(c) for c in regex.findall(pattern, every)]] = kind
+    out[[ord(c) for c in every if unicodedata.category(c) == "Cn"]] = _NEW
     return out
 
 
+def _library(spec: dict):
+    """The tokenizer file's own normaliser and pre-tokenizer, without its vocabulary."""
+    from tokenizers import Tokenizer
+
+    bare = spec | {"added_tokens": [], "model": spec["model"] | {"vocab": {}, "merges": []}}
+    return Tokenizer.from_str(json.dumps(bare))
+
+
 class WordBpe:
     """One tokenizer file of the kind "BPE with word ends".
 
@@ -106,7 +132,7 @@ class WordBpe:
     byte b at the end of the word.
     """
 
-    def __init__(self, path: str, cached_words: int = 700_000):
+    def __init__(self, path: str, cached_words: int = WORDS):
         with open(path, encoding="utf-8") as f:
             spec = json.load(f)
         model = spec["model"]
@@ -114,7 +140,8 @@ class WordBpe:
         if model.get("end_of_word_suffix") != _SUFFIX or kinds != ["NFC", "Replace", "Lowercase"] or spec.get("decoder"):
             raise ValueError(f"{path}: not a word-end BPE of the supported kind")
         vocab: dict[str, int] = model["vocab"]
-        code = {c: b for b, c in enumerate(_byte_letters())}
+        code = self.code = {c: b for b, c in enumerate(_byte_letters())}
+        self.rules = {k: spec[k] for k in spec if k != "model"} | {"model": {k: v for k, v in model.items() if k not in ("vocab", "merges")}}
 
         def symbols(token: str) -> str:
             body = [code[c] for c in token.removesuffix(_SUFFIX)]
@@ -184,7 +211,7 @@ class WordBpe:
 
     def _ok(self, one: int, two: int) -> bool:
         """Work out an entry of the pair table; the table is bounded."""
-        if len(self.compatible) > 2_000_000:
+        if len(self.compatible) > PAIRS:
             self.compatible.clear()
         ok = self.compatible[one * self.size + two] = self._pair_ok(one, two)
         return ok
@@ -263,13 +290,24 @@ class WordBpe:
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         return text.lower()
 
+    @functools.cached_property
+    def library(self):
+        return _library(self.rules)
+
+    def _words_of(self, text: str) -> list[str]:
+        """Pre-tokens of one text, with the library's tables where Python's are older."""
+        if not any(unicodedata.category(c) == "Cn" for c in set(text)):
+            return self.pattern.findall(self._normal(text))
+        found = self.library.pre_tokenizer.pre_tokenize_str(self.library.normalizer.normalize_str(text))
+        return [bytes(self.code[c] for c in w).decode() for w, _ in found]
+
     def _plain(self, text: str) -> bytes:
         """Ids of one text, pre-token by pre-token: for special tokens and rare characters."""
         out = []
         for part in self.special_pattern.split(text) if self.special_pattern else [text]:
             if part in self.specials:
                 out.append(array("I", [self.specials[part]]).tobytes())
-            elif words := self.pattern.findall(self._normal(part)):
+            elif words := self._words_of(part):
                 own = list(dict.fromkeys(words))
                 known = dict(zip(own, self.encode_words(own), strict=True))
                 out += [known[w] for w in words]
@@ -302,6 +340,21 @@ class WordBpe:
             starts, ends = starts[full], ends[full]
         return starts, ends
 
+    @staticmethod
+    def _pieces(text: str) -> Iterator[str]:
+        """A long text in pieces that begin with a blank: no pre-token and no composed character crosses one."""
+        at = 0
+        while len(text) - at > LONG:
+            cut = max(text.rfind(" ", at + 1, at + LONG), text.rfind("\n", at + 1, at + LONG))
+            if cut < 0:
+                found = re.compile(r"[ \n]").search(text, at + LONG)
+                if not found:
+                    break
+                cut = found.start()
+            yield text[at:cut]
+            at = cut
+        yield text[at:]
+
     def encode_batch(self, texts: list[str | None]) -> list[bytes]:
         """Ids of each text as little-endian unsigned 32-bit integers."""
         out: list[bytes] = [b""] * len(texts)
@@ -309,6 +362,9 @@ class WordBpe:
         for i, text in enumerate(texts):
             if not text:
                 continue
+            if len(text) > LONG and len(pieces := list(self._pieces(text))) > 1:
+                out[i] = b"".join(self.encode_batch([p])[0] for p in pieces)
+                continue
             if "<|" in text and self.special_pattern and self.special_pattern.search(text):
                 out[i] = self._plain(text)
                 continue
@@ -317,6 +373,10 @@ class WordBpe:
             if len(data) != 2 * len(normal):  # characters of two units
                 out[i] = self._plain(text)
                 continue
+            units = np.frombuffer(data, "<u2")
+            if not text.isascii() and (self.classes[units] == _NEW).any():
+                out[i] = self._plain(text)
+                continue
             held.append(i)
             parts.append(data)
         if not held:
@@ -332,7 +392,7 @@ class WordBpe:
         new = np.flatnonzero(entries < 0)
         if len(new):
             fresh, first = np.unique(keys[new], return_index=True)
-            if self.table.count + len(fresh) > self.table.most:
+            if not self.table.has_room(len(fresh), int(sizes[new[first]].sum())):
                 if self.table.count == 0:  # one batch with more words than the table holds
                     for i in held:
                         out[i] = self._plain(texts[i])
@@ -396,23 +456,37 @@ def tokenizer(path: str) -> WordBpe:
     return WordBpe(path)
 
 
+def id_lists(packed: list[bytes]) -> pa.ListArray:
+    """Packed ids as a column of integer lists."""
+    stops = np.cumsum([0, *[len(p) // 4 for p in packed]])
+    return pa.ListArray.from_arrays(pa.array(stops, pa.int32()), pa.array(np.frombuffer(b"".join(packed), "<i4")))
+
+
+def slices(batches: Iterator[pa.RecordBatch], text_at: int = 1) -> Iterator[pa.RecordBatch]:
+    """The rows in slices of at most ``ROWS`` rows and about ``BYTES`` bytes of text; a longer text stands alone."""
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(text_at)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+        ends, row = np.cumsum(sizes), 0
+        while row < batch.num_rows:
+            stop = int(np.searchsorted(ends, ends[row] - sizes[row] + BYTES, side="right"))
+            stop = min(max(stop, row + 1), row + ROWS, batch.num_rows)
+            yield batch.slice(row, stop - row)
+            row = stop
+
+
 def encode_documents(docs: DataFrame, tokenizer_path: str, id_column: str = "doc_id", text_column: str = "text", decoded: bool = False) -> DataFrame:
     """(id, ids array<int>, n_tokens [, decoded]) of every whole text."""
     kind = docs.schema[id_column].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(tokenizer_path)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                part = batch.slice(at, 128)
-                packed = bpe.encode_batch(part.column(1).to_pylist())
-                sizes = np.array([len(p) // 4 for p in packed], np.int64)
-                flat = pa.array(np.frombuffer(b"".join(packed), "<i4"))
-                ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), flat)
-                columns = {id_column: part.column(0), "ids": ids, "n_tokens": pa.array(sizes)}
-                if decoded:
-                    columns["decoded"] = pa.array([bpe.decode(np.frombuffer(p, "<u4")).decode() for p in packed], pa.string())
-                yield pa.RecordBatch.from_pydict(columns)
+        for part in slices(batches):
+            packed = bpe.encode_batch(part.column(1).to_pylist())
+            sizes = np.array([len(p) // 4 for p in packed], np.int64)
+            columns = [part.column(0), id_lists(packed), pa.array(sizes)]
+            if decoded:
+                columns.append(pa.array([bpe.decode(np.frombuffer(p, "<u4")).decode() for p in packed], pa.string()))
+            yield pa.RecordBatch.from_arrays(columns, names=[id_column, "ids", "n_tokens", "decoded"][: len(columns)])
 
     schema = f"`{id_column}` {kind}, ids array<int>, n_tokens bigint" + ", decoded string" * decoded
     return docs.select(id_column, text_column).mapInArrow(run, schema)
@@ -441,15 +515,13 @@ def digest_documents(docs: DataFrame, tokenizer_path: str, id_column: str = "doc
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = tokenizer(tokenizer_path)
-        for batch in batches:
-            for at in range(0, batch.num_rows, 128):
-                part = batch.slice(at, 128)
-                sizes, ids_sha, decoded_sha = [], [], []
-                for packed in bpe.encode_batch(part.column(1).to_pylist()):
-                    ids = np.frombuffer(packed, "<u4")
-                    sizes.append(len(ids))
-                    ids_sha.append(hashlib.sha256(bpe.decimal(ids)).hexdigest())
-                    decoded_sha.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
-                yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(decoded_sha, pa.string())], names=[id_column, "n_tokens", "ids_sha256", "decoded_sha256"])
+        for part in slices(batches):
+            sizes, ids_sha, decoded_sha = [], [], []
+            for packed in bpe.encode_batch(part.column(1).to_pylist()):
+                ids = np.frombuffer(packed, "<u4")
+                sizes.append(len(ids))
+                ids_sha.append(hashlib.sha256(bpe.decimal(ids)).hexdigest())
+                decoded_sha.append(hashlib.sha256(bpe.decode(ids)).hexdigest())
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(sizes, pa.int64()), pa.array(ids_sha, pa.string()), pa.array(decoded_sha, pa.string())], names=[id_column, "n_tokens", "ids_sha256", "decoded_sha256"])
 
     return docs.select(id_column, text_column).mapInArrow(run, f"`{id_column}` {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
