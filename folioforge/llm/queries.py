@@ -69,7 +69,7 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = token_store.write_tokens(_table(spark, sf_dir, "documents"), tokenizer_path())
-    return token_store.read_tokens(spark, folder).select("doc_id", "start", "n_tokens", token_store.ids_crc32("ids").alias("ids_crc32"))
+    return _compact(token_store.read_tokens(spark, folder).select("doc_id", "start", "n_tokens", token_store.ids_crc32("ids").alias("ids_crc32")))
 
 
 def queries() -> dict:

@@ -141,6 +141,52 @@ def test_bpe_backtracks_like_the_merges():
         assert mine.encode(text).tolist() == t.encode(text, add_special_tokens=False).ids, text
 
 
+def test_bpe_knows_the_characters_that_the_library_knows():
+    """Also those that Python's Unicode tables do not have yet, alone and among letters."""
+    import unicodedata
+
+    import numpy as np
+
+    t, mine = hf(), bpe.WordBpe(queries.tokenizer_path())
+    new = [chr(c) for c in range(0x20000) if unicodedata.category(chr(c)) == "Cn" and (c % 5 == 0 or 0x1C80 <= c < 0x1CA0 or 0xA7C0 <= c < 0xA800 or 0x10D40 <= c < 0x10DA0 or 0x13460 <= c < 0x13500)]
+    texts = [*new, *(f"a{c}B {c}1" for c in new[::3]), *(chr(c) for c in range(0, 0x3000)), "a\u0301 \u0345\u0300"]
+    got = [np.frombuffer(x, "<u4").tolist() for i in range(0, len(texts), 500) for x in mine.encode_batch(texts[i : i + 500])]
+    assert got == [e.ids for e in t.encode_batch(texts, add_special_tokens=False)]
+
+
+def test_bpe_of_long_texts(monkeypatch):
+    t, mine = hf(), bpe.WordBpe(queries.tokenizer_path())
+    rng = random.Random(6)
+    text = "".join(rng.choice(["word", " ", "\n", "é", "e\u0301", " \u0301", "x" * 40, "12", "İ", "Σ"]) for _ in range(4000))
+    whole = t.encode(text, add_special_tokens=False).ids
+    for long in (1, 30, 1000, len(text) - 1):
+        monkeypatch.setattr(bpe, "LONG", long)
+        assert mine.encode(text).tolist() == whole
+        assert mine.encode("y" * 500).tolist() == t.encode("y" * 500, add_special_tokens=False).ids
+    assert "".join(mine._pieces(text)) == text
+
+
+def test_bpe_slices_bound_rows_and_bytes():
+    import pyarrow as pa
+
+    texts = [None, "", "x" * 10, "y" * (3 << 20), *["z" * 300_000] * 10, *["w"] * 300]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["i", "t"])
+    parts = list(bpe.slices([batch]))
+    assert [i for p in parts for i in p.column(0).to_pylist()] == list(range(len(texts)))
+    for p in parts:
+        assert p.num_rows <= bpe.ROWS and (p.num_rows == 1 or sum(len(x or "") for x in p.column(1).to_pylist()) <= bpe.BYTES)
+
+
+def test_bpe_caches_are_bounded():
+    mine = bpe.WordBpe(queries.tokenizer_path(), cached_words=40)
+    mine.table = bpe.WordTable(40, most_units=200)
+    t, rng = hf(), random.Random(8)
+    for _ in range(300):
+        texts = [" ".join("".join(rng.choice("abcdeé") for _ in range(rng.randint(1, 30))) for _ in range(rng.randint(1, 12))) for _ in range(2)]
+        assert [len(x) // 4 for x in mine.encode_batch(texts)] == [len(t.encode(x, add_special_tokens=False).ids) for x in texts]
+        assert mine.table.count <= 40 and mine.table.unit_ends[mine.table.count] <= 200
+
+
 def test_token_store(spark, docs):
     import zlib
 
@@ -160,6 +206,57 @@ def test_token_store(spark, docs):
     assert token_store.read_tokens(spark, token_store.write_tokens(frame(spark, []), queries.tokenizer_path())).count() == 0
 
 
+def read_rows(df):
+    """Rows that the scan of a plan gave out, after it ran; and the plan."""
+    df.collect()
+    plan = df._jdf.queryExecution().executedPlan()
+    plan = plan.finalPhysicalPlan() if "AdaptiveSparkPlan" in plan.getClass().getName() else plan
+    leaves = plan.collectLeaves()
+    return [leaves.apply(i).metrics().apply("numOutputRows").value() for i in range(leaves.size())], plan.toString()
+
+
+def test_token_store_prunes_by_metadata(spark):
+    """A read of one id touches one row group; of an id between others the Bloom filter leaves none."""
+    docs = spark.range(0, 40_000, 2).select(F.col("id").alias("doc_id"), F.concat(F.lit("text "), F.col("id").cast("string")).alias("text"))
+    folder = token_store.write_tokens(docs, queries.tokenizer_path())
+    tokens = spark.read.orc(folder)
+    assert len(tokens.inputFiles()) == 1 and tokens.count() == 20_000
+    rows, plan = read_rows(tokens.where("doc_id = 31234").select("doc_id", "n_tokens"))
+    assert sum(rows) <= 1_000 and "PushedFilters: [IsNotNull(doc_id), EqualTo(doc_id,31234)]" in plan and "ids" not in plan.split("ReadSchema")[1]
+    assert sum(read_rows(tokens.where("doc_id = 31235").select("doc_id"))[0]) == 0
+    assert sum(read_rows(tokens.where("doc_id >= 38000").select("doc_id"))[0]) == 1_000
+
+
+def test_token_store_is_read_by_stripe(spark):
+    """Several tasks share one file, and give the same rows as one."""
+    rng = random.Random(1)
+    words = ["".join(rng.choice("abcdefghijkl") for _ in range(6)) for _ in range(3000)]
+    rows = [(i, " ".join(rng.sample(words, 2_000))) for i in range(1_500)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    folder = token_store.write_tokens(docs, queries.tokenizer_path(), file_bytes=1 << 30)
+    whole = {tuple(r) for r in token_store.read_tokens(spark, folder).select("doc_id", "start", "n_tokens", F.xxhash64("ids")).collect()}
+    with queries.token_store.settings(spark, {"spark.sql.files.maxPartitionBytes": str(1 << 20), "spark.sql.files.openCostInBytes": "0"}):
+        out = token_store.read_tokens(spark, folder)
+        rdd = spark.read.orc(folder).select("doc_id").rdd
+        assert len(spark.read.orc(folder).inputFiles()) == 1 and rdd.getNumPartitions() > 2 and sum(n > 0 for n in rdd.mapPartitions(lambda p: [sum(1 for _ in p)]).collect()) > 1
+        assert {tuple(r) for r in out.select("doc_id", "start", "n_tokens", F.xxhash64("ids")).collect()} == whole
+
+
+def test_token_store_spreads_an_id_with_many_rows(spark):
+    rng = random.Random(4)
+    rows = [(7, f"hot {rng.random()}") for _ in range(900)] + [(i, f"doc {i}") for i in range(600)] + [(None, "none")]
+    folder = token_store.write_tokens(spark.createDataFrame(rows, "doc_id bigint, text string"), queries.tokenizer_path(), file_bytes=1_500)
+    sizes = [r["n"] for r in spark.read.orc(folder).groupBy(F.col("_metadata.file_name")).agg(F.count("*").alias("n")).collect()]
+    assert len(sizes) > 8 and max(sizes) < 400
+    got = sorted(map(tuple, token_store.read_tokens(spark, folder).select("start", "n_tokens", "doc_id").collect()))
+    ends = [0]
+    for start, n, _ in got:
+        assert start == ends[-1]
+        ends.append(start + n)
+    ids = [-1 if d is None else d for _, _, d in got]
+    assert ids == sorted(ids) and len(ids) == len(rows)
+
+
 def test_warc(spark):
     big, small = "<p>" + "ä" * 200, "<p>x"
     rows = [(1, "http://a", small), (2, "http://b\r\nX: y", small), (5, None, big), (4, "u", big), (9, "u", big), (7, "u", None), (8, "u", ""), (10, "u", big + "z")]
