@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from . import bpe, linededup, quality, simhash, substring, token_store, topk, toxicity, warc, winnow
+from .common import cut, settings
 
 TOKENIZER = "word_bpe_49k.json"
 
@@ -69,7 +70,9 @@ def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = token_store.write_tokens(_table(spark, sf_dir, "documents"), tokenizer_path())
-    return _compact(token_store.read_tokens(spark, folder).select("doc_id", "start", "n_tokens", token_store.ids_crc32("ids").alias("ids_crc32")))
+    digests = _compact(token_store.read_tokens(spark, folder).select("doc_id", "start", "n_tokens", token_store.ids_crc32("ids").alias("ids_crc32")))
+    with settings(spark, token_store.ROWS):  # they hold while the digests are written
+        return cut(digests, "token-digests")
 
 
 def queries() -> dict:

@@ -38,8 +38,8 @@ FILE_BYTES = 32 << 20
 KEYS = 64
 _LEAST = -(2**63)
 ORC = {"compression": "zstd", "orc.stripe.size": str(8 << 20), "orc.rows.between.memory.checks": "64", "orc.row.index.stride": "1000", "orc.create.index": "true", "orc.bloom.filter.columns": "doc_id", "orc.bloom.filter.fpp": "0.01"}
-#: Rows that the ORC writer and Arrow hold at a time: a row may have a hundred thousand ids.
-_ROWS = {"spark.sql.orc.columnarWriterBatchSize": "64", "spark.sql.execution.arrow.maxRecordsPerBatch": "1000"}
+#: Rows that ORC and Arrow hold at a time, writing and reading: a row may have a hundred thousand ids.
+ROWS = {"spark.sql.orc.columnarWriterBatchSize": "64", "spark.sql.orc.columnarReaderBatchSize": "256", "spark.sql.execution.arrow.maxRecordsPerBatch": "512"}
 
 
 def range_bounds(docs: DataFrame, id_column: str, text_column: str, file_bytes: int) -> np.ndarray:
@@ -92,7 +92,7 @@ def write_tokens(docs: DataFrame, tokenizer_path: str, folder: str | None = None
 
     encoded = plain.mapInArrow(encode, "file int, doc_id bigint, tie bigint, packed binary")
     ordered = encoded.repartitionById(len(held) + 1, "file").sortWithinPartitions("doc_id", "tie").select("doc_id", "packed")
-    with settings(spark, _ROWS):
+    with settings(spark, ROWS):
         ordered.mapInArrow(number, "doc_id bigint, first bigint, n_tokens bigint, ids array<int>").write.options(**ORC).orc(folder)
     return folder
 
