@@ -45,7 +45,7 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     out = linededup.dedup_lines(_table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
+    return _compact(out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256")))
 
 
 def op6_warc(spark: SparkSession, sf_dir: str) -> DataFrame:

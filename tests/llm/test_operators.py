@@ -91,6 +91,49 @@ def test_line_dedup(spark, docs, batches, fan):
     assert {"hash", "at", "label"} <= set(out.columns)
 
 
+def test_line_dedup_of_many_lines_is_linear(spark):
+    import time
+
+    text = "\n".join(f"line number {i} of a long list" for i in range(80_000))
+    rows = [(1, text), (2, "own first line\n" + text), (3, "a\n" * 80_000)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    began = time.time()
+    same(linededup.dedup_lines(docs), ["doc_id", "n_lines", "n_dropped", "text"], brute.dedup_lines(rows))
+    assert time.time() - began < 60
+
+
+def test_line_dedup_ids_and_names(spark):
+    """String ids in their order; columns with the names that are used inside."""
+    rows = [("b", "the same line here\nx"), ("a", "the same line here"), ("ab", "The Same Line here \ny"), (None, "the same line here")]
+    docs = spark.createDataFrame([(i, t, 1, 2, 3, 4, 5, 6) for i, t in rows], "name string, body string, doc int, text int, whole int, dropped int, lines int, n_lines int")
+    out = linededup.dedup_lines(docs, "name", "body", batches=3, fan=2)
+    assert out.columns == ["name", "body", "doc", "text", "whole", "dropped", "lines", "n_lines", "n_dropped"]
+    same(out, ["name", "n_lines", "n_dropped", "body"], [(i, n, d, t) for i, n, d, t in brute.dedup_lines(rows)])
+    assert {tuple(r) for r in out.select("doc", "text", "whole", "dropped", "lines").collect()} == {(1, 2, 3, 4, 5)}
+
+
+def test_line_dedup_runs_are_not_dealt_anew(spark):
+    """A batch meets the runs bucket by bucket: neither exchange nor sort of a run."""
+    with linededup._bucketed(spark, 8) as buckets:
+        runs = linededup.Runs(spark, buckets, fan=3)
+        hashed = lambda lo, hi: spark.range(lo, hi).select(F.unhex(F.md5(F.col("id").cast("string"))).alias("hash"), F.col("id").alias("owner"), F.col("id").alias("last"))
+        for lo, hi in ((0, 500), (400, 900)):
+            firsts = hashed(lo, hi).groupBy("hash").agg(F.min("owner").alias("owner"), F.max("last").alias("last"))
+            name = runs.write(runs.marked(firsts), "run_0")
+            runs.add(name)
+        assert runs.hashes(runs.levels[0][1]).count() == 400
+        firsts = hashed(800, 1200).groupBy("hash").agg(F.min("owner").alias("owner"), F.max("last").alias("last"))
+        found = runs.marked(firsts)
+        assert found.where("known").count() == 100
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("SortMergeJoin") == 2 and plan.count("FileScan parquet") == 2
+        assert plan.count("Exchange hashpartitioning") == 1 and plan.count("Sort [") == 1, plan  # of the batch itself
+        name = runs.write(found, "run_0")
+        runs.add(name)
+        assert [len(level) for level in runs.levels] == [0, 1] and runs.hashes(runs.levels[1][0]).count() == 1200
+        runs.drop_all()
+
+
 def test_line_dedup_empty(spark):
     assert linededup.dedup_lines(frame(spark, [])).count() == 0
 
