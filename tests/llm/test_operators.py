@@ -105,11 +105,11 @@ def test_line_dedup_of_many_lines_is_linear(spark):
 def test_line_dedup_ids_and_names(spark):
     """String ids in their order; columns with the names that are used inside."""
     rows = [("b", "the same line here\nx"), ("a", "the same line here"), ("ab", "The Same Line here \ny"), (None, "the same line here")]
-    docs = spark.createDataFrame([(i, t, 1, 2, 3, 4, 5, 6) for i, t in rows], "name string, body string, doc int, text int, whole int, dropped int, lines int, n_lines int")
+    docs = spark.createDataFrame([(i, t, 1, 2, 3, 4, 5, 6) for i, t in rows], "name string, body string, doc int, text int, others int, dropped int, lines int, n_lines int")
     out = linededup.dedup_lines(docs, "name", "body", batches=3, fan=2)
-    assert out.columns == ["name", "body", "doc", "text", "whole", "dropped", "lines", "n_lines", "n_dropped"]
+    assert out.columns == ["name", "body", "doc", "text", "others", "dropped", "lines", "n_lines", "n_dropped"]
     same(out, ["name", "n_lines", "n_dropped", "body"], [(i, n, d, t) for i, n, d, t in brute.dedup_lines(rows)])
-    assert {tuple(r) for r in out.select("doc", "text", "whole", "dropped", "lines").collect()} == {(1, 2, 3, 4, 5)}
+    assert {tuple(r) for r in out.select("doc", "text", "others", "dropped", "lines").collect()} == {(1, 2, 3, 4, 5)}
 
 
 def test_line_dedup_runs_are_not_dealt_anew(spark):
