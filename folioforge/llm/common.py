@@ -4,21 +4,25 @@ from __future__ import annotations
 
 import contextlib
 import math
+import re
 import tempfile
 import uuid
 from collections.abc import Iterator
 
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 
 def shared_dir(spark: SparkSession) -> str:
     """Folder that the driver and all executors see.
 
-    Taken from ``spark.checkpoint.dir``.  Only where that is unset (a local
-    test session) a temporary folder is made and remembered in the session.
+    Taken from ``spark.checkpoint.dir``.  Only where that is unset and the
+    master is local (a test session, one machine) a temporary folder is made and
+    remembered in the session; on a cluster it is an error.
     """
     place = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("folioforge.shared.dir", None)
     if not place:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors see")
         place = tempfile.mkdtemp(prefix="folioforge-")
         spark.conf.set("folioforge.shared.dir", place)
     return place.rstrip("/")
@@ -98,17 +102,29 @@ def is_held_out(doc_id):
     return (F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5) == 0
 
 
-def labelled_sample(docs: DataFrame, labels: DataFrame, label_column: str, most: int, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(id, text, label) of at most ``most`` labelled documents that are not held out.
+#: Bytes of text that a training sample holds at most; a documented bound, as is the number of its documents.
+SAMPLE_BYTES = 128 << 20
 
-    The bound is the caller's documented parameter, so the chosen ids may be
-    broadcast.  Which rows are chosen depends on their ids alone.  A document
-    with several labels has the largest; null labels and ids take no part.
+
+def labelled_sample(docs: DataFrame, labels: DataFrame, label_column: str, most: int, id_column: str = "doc_id", text_column: str = "text", most_bytes: int = SAMPLE_BYTES) -> DataFrame:
+    """(id, text, label) of at most ``most`` labelled documents that are not held out, one row an id.
+
+    Both bounds are documented parameters, so the chosen ids may be broadcast.
+    The order in which documents are chosen depends on their ids alone; the
+    first ones whose texts fit ``most_bytes`` are taken.  A document with
+    several labels has the largest, one with several texts that of the smallest
+    hash; null labels and ids take no part.
     """
     usable = labels.where(F.col(label_column).isNotNull() & F.col("doc_id").isNotNull() & ~is_held_out("doc_id"))
     chosen = usable.groupBy(F.col("doc_id").alias("_id")).agg(F.max(label_column).cast("int").alias("label")).orderBy(F.xxhash64("_id"), "_id").limit(most)
     plain = docs.select(F.col(id_column).alias("id"), F.coalesce(F.col(text_column), F.lit("")).alias("text"))
-    return plain.join(F.broadcast(chosen), F.col("id") == F.col("_id")).select("id", "text", "label")
+    own = plain.select("id", F.struct(F.xxhash64("text").alias("print"), F.octet_length("text").cast("long").alias("size")).alias("own"))
+    # At most ``most`` rows of some bytes from here to the join.
+    sized = own.join(F.broadcast(chosen), F.col("id") == F.col("_id")).groupBy("_id", "label").agg(F.min("own").alias("own"))
+    before = F.sum("own.size").over(Window.orderBy(F.xxhash64("_id"), "_id"))
+    fitting = sized.withColumn("total", before).where(F.col("total") <= most_bytes).select("_id", "label", F.col("own.print").alias("print"))
+    found = plain.join(F.broadcast(fitting), (F.col("id") == F.col("_id")) & (F.xxhash64("text") == F.col("print")))
+    return found.groupBy("id", "label").agg(F.min("text").alias("text")).select("id", "text", "label")
 
 
 def with_decision(scored: DataFrame, id_column: str, threshold: float) -> DataFrame:

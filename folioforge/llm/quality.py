@@ -6,14 +6,17 @@ a learned layer); gated attention learns from document labels alone which
 passages matter, and the document's score is a logistic of the
 attention-weighted passage representation.
 
-Training runs on the driver on at most ``SAMPLE`` labelled documents (a bound,
-not a share), of which only passage vectors are gathered; scoring is one
-narrow pass over all whole texts with a model of some kilobytes.
+Training runs on the driver on at most ``SAMPLE`` labelled documents, one text
+an id and ``common.SAMPLE_BYTES`` of text in all (bounds, not shares), of which
+only passage vectors are gathered; scoring is one narrow pass over all whole
+texts with a model of some kilobytes.
 
 Defined cases: a null or empty text is one empty passage; repeated rows score
-alike; without labels of both kinds every score is the labels' mean (0.5
-without any); rows with a null id are scored, held_out null; language, source,
-labels and ids are never inputs of a score.
+alike, and are learnt from once; without labels of both kinds every score is
+the labels' mean (0.5 without any); rows with a null id are scored, held_out
+null; an empty table gives an empty result; a very long text is scored alone,
+in memory of some 100 times its size; language, source, labels and ids are
+never inputs of a score, and other columns' names may clash.
 """
 
 from __future__ import annotations

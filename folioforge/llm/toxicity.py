@@ -1,19 +1,25 @@
 """Counterfactual-regularised toxicity classifier.
 
 A logistic model over hashed words and word beginnings of the whole text (met
-at all, at least twice, at least four times).  Besides the label loss it is trained on counterfactual pairs: in each
-labelled sentence with an identity term the term is swapped for the next one of
-its group, and the squared change of the sentence's score is penalised, so a
-neutral mention of a group does not raise the score.
-
-Training runs on the driver on at most ``SAMPLE`` labelled documents (a bound,
-not a share); scoring is one narrow pass over all whole texts, with a weight
-table of fixed size.
+at all, at least twice, at least four times).  Besides the label loss it is
+trained on counterfactual pairs: in each labelled sentence with an identity
+term the term is swapped for the next one of its group, and the squared change
+of the sentence's score is penalised, so a neutral mention of a group does not
+raise the score.
+
+Training runs on the driver on at most ``SAMPLE`` labelled documents, one text
+an id and ``common.SAMPLE_BYTES`` of text in all (bounds, not shares); both
+labels weigh the same in the loss.  The model has ``KEPT`` features, those with
+the largest log odds in the sample: with more it learns mislabelled documents
+by heart.  Scoring is one narrow pass over all whole texts, with a weight table
+of fixed size.
 
 Defined cases: null and empty texts are scored from the bias; repeated rows
-score alike; without labels of both kinds every score is the labels' mean (0
-without any); rows with a null id are scored, held_out null; other columns
-(language, source, labels) are never inputs of a score.
+score alike, and are learnt from once; without labels of both kinds every score
+is the labels' mean (0 without any); rows with a null id are scored, held_out
+null; an empty table gives an empty result; a very long text is scored alone,
+in memory of some 100 times its size; other columns (language, source, labels)
+are never inputs of a score and their names may clash.
 """
 
 from __future__ import annotations
@@ -31,7 +37,8 @@ from .textkernel import ALNUM_LOWER, LOWER, U64, Poly, Words, chunks, mix, utf8
 
 SAMPLE = 8_000
 TABLE = 1 << 20
-KEPT = 4_000
+#: Features of the model.
+KEPT = 1_000
 THRESHOLD = 0.5
 FAIRNESS = 1.0
 #: Identity terms, in groups whose members may stand for each other.
@@ -44,9 +51,21 @@ IDENTITY_TERMS = (
     ("black", "white", "asian", "latino", "african", "european"),
     ("immigrants", "refugees", "natives", "foreigners"),
     ("old", "young", "disabled", "blind", "deaf"),
-    ("frauen", "männer"),
-    ("femmes", "hommes"),
-    ("mujeres", "hombres"),
+    ("frauen", "männer", "mädchen", "jungen"),
+    ("muslime", "christen", "juden", "buddhisten", "atheisten"),
+    ("muslimisch", "christlich", "jüdisch", "hinduistisch", "buddhistisch"),
+    ("schwul", "lesbisch", "bisexuell", "heterosexuell"),
+    ("ausländer", "flüchtlinge", "einwanderer", "einheimische"),
+    ("femmes", "hommes", "filles", "garçons"),
+    ("musulmans", "chrétiens", "juifs", "hindous", "bouddhistes", "athées"),
+    ("musulman", "chrétien", "juif", "hindou", "bouddhiste", "athée"),
+    ("gays", "lesbiennes", "bisexuels", "hétérosexuels"),
+    ("immigrés", "réfugiés", "étrangers", "natifs"),
+    ("mujeres", "hombres", "niñas", "niños"),
+    ("musulmanes", "cristianos", "judíos", "hindúes", "budistas", "ateos"),
+    ("musulmán", "cristiano", "judío", "hindú", "budista", "ateo"),
+    ("gais", "lesbianas", "bisexuales", "heterosexuales"),
+    ("inmigrantes", "refugiados", "extranjeros", "nativos"),
 )
 _BEGINNINGS = (4, 5, 6, 7, 8)
 _POLY = Poly(41)
@@ -165,7 +184,7 @@ def examples(labels: np.ndarray, packed: list[bytes], differences: list[bytes])
     return Examples(np.asarray(labels, float), sizes, np.frombuffer(b"".join(packed), "<i4"), np.concatenate(pair).astype(np.int64) if pair else np.zeros(0, np.int64), t[:, 1], t[:, 2].astype(float))
 
 
-def fit_examples(x: Examples, fairness: float = FAIRNESS, steps: int = 300, ridge: float = 3e-4, kept: int = KEPT) -> ToxicityModel:
+def fit_examples(x: Examples, fairness: float = FAIRNESS, steps: int = 300, ridge: float = 1e-3, kept: int = KEPT) -> ToxicityModel:
     """Train; deterministic.  Working memory is a few times the features' four bytes each."""
     y, n = x.labels, len(x.labels)
     if not n or y.min() == y.max():
@@ -193,10 +212,11 @@ def fit_examples(x: Examples, fairness: float = FAIRNESS, steps: int = 300, ridg
     row, sign, cell = x.pair[cell >= 0], x.sign[cell >= 0], cell[cell >= 0]
     pairs = int(row.max()) + 1 if len(row) else 0
     k = len(top)
+    share = np.where(y == 1, 0.5 / y.sum(), 0.5 / (n - y.sum()))
     w, first, second = np.zeros(k + 1), np.zeros(k + 1), np.zeros(k + 1)
     for step in range(1, steps + 1):
         p = 1 / (1 + np.exp(-(np.bincount(doc, weights=w[feature], minlength=n) + w[k])))
-        err = (p - y) / n
+        err = (p - y) * share
         grad = np.append(np.bincount(feature, weights=err[doc], minlength=k) + ridge * w[:k], err.sum())
         if pairs:  # fairness * mean of squared score changes
             change = np.bincount(row, weights=w[cell] * sign, minlength=pairs)
@@ -233,9 +253,8 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_column: s
     return fit_examples(examples(np.array([label[i] for i in order], float), [packed[i] for i in order], [differences[i] for i in order]))
 
 
-def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, sample: int = SAMPLE, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
-    """(id, held_out, score, predicted) of every row."""
-    model = train(docs, labels, sample, id_column, text_column)
+def score_documents(docs: DataFrame, model: ToxicityModel, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(id, score) of every row."""
     held = docs.sparkSession.sparkContext.broadcast(model)
     kind = docs.schema[id_column].dataType.simpleString()
 
@@ -243,4 +262,10 @@ def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, s
         for ids, buf, offsets in chunks(batches, [id_column, text_column]):
             yield pa.RecordBatch.from_arrays([ids, pa.array(held.value.score(buf, offsets))], names=[id_column, "score"])
 
-    return with_decision(docs.select(id_column, text_column).mapInArrow(run, f"`{id_column}` {kind}, score double"), id_column, threshold)
+    return docs.select(id_column, text_column).mapInArrow(run, f"`{id_column}` {kind}, score double")
+
+
+def classify(docs: DataFrame, labels: DataFrame, threshold: float = THRESHOLD, sample: int = SAMPLE, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
+    """(id, held_out, score, predicted) of every row."""
+    model = train(docs, labels, sample, id_column, text_column)
+    return with_decision(score_documents(docs, model, id_column, text_column), id_column, threshold)

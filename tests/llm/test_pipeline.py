@@ -72,3 +72,18 @@ def test_near_dedup_keeps_one_of_repeated_rows(spark):
     rows = [(1, words("a")), (1, words("a")), (1, words("b")), (2, words("a")), (5, words("c", 1000) + " x"), (5, words("c", 1000))]
     out = stage_rows(spark, corpus_pipeline.drop_near_copies, rows)
     assert len(out) == 3 and out[:2] == [(1, words("a")), (1, words("b"))] and out[2][0] == 5
+
+
+def test_stages_decide_by_row(spark):
+    """Of rows with one id, or none, only the toxic and the contaminated go."""
+    item = spark.read.parquet(f"{SF}/benchmark.parquet").orderBy("item_id").first()["text"]
+    rows = [(4, item), (4, words("a")), (None, item), (None, words("b")), (4, None), (6, "")]
+    kept = [rows[1], rows[3], rows[4], rows[5]]
+    assert stage_rows(spark, corpus_pipeline.drop_contaminated, rows) == sorted(kept, key=repr)
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    docs, other = spark.read.parquet(f"{SF}/documents.parquet"), 10**9
+    toxic = [r["text"] for r in toxicity.classify(docs, labels).where("predicted = 1").join(docs, "doc_id").collect()]
+    assert toxic
+    more = [*((other, t) for t in toxic), *((None, t) for t in toxic), (other, words("a")), (None, words("b"))]
+    out = corpus_pipeline.drop_toxic(spark, docs.select("doc_id", "text").union(spark.createDataFrame(more, "doc_id bigint, text string")), SF)
+    assert [tuple(r) for r in out.where(f"doc_id IS NULL OR doc_id = {other}").orderBy("doc_id").collect()] == [(None, words("b")), (other, words("a"))]
