@@ -4,6 +4,13 @@ Every stage is ``(spark, docs, sf_dir) -> DataFrame``; its result is written as
 Parquet and reread as the next stage's ``docs``.  All stages but the last
 return the columns of ``docs``.  Joins with lists that grow with the input are
 merge joins at every size.
+
+Defined cases: decisions are made by row, not by id.  Rows with a null id, and
+rows of one id with different texts, are documents of their own in every stage
+that drops documents; line dedup takes rows of one id as one document, and
+leaves rows with a null id as they are.  Rows that are repeated whole count as
+near copies, so one of them stays.  Null and empty texts are clean and near
+copies of each other.  Empty tables give empty results.
 """
 
 from __future__ import annotations
@@ -18,11 +25,17 @@ from folioforge.llm.queries import tokenizer_path
 ORACLE_SQL = None
 
 
+def _keyed(docs: DataFrame) -> DataFrame:
+    """With a key that only rows of the same id and text share."""
+    return docs.withColumn("__key", F.concat_ws(" ", F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit("")))))
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the classifier rejects go; those without an id stay."""
-    verdict = toxicity.classify(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
-    rejected = verdict.where("predicted = 1 AND doc_id IS NOT NULL").select("doc_id").distinct()
-    return docs.join(rejected.hint("merge"), "doc_id", "left_anti").select(docs.columns)
+    """Documents that the classifier rejects go."""
+    model = toxicity.train(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    keyed = _keyed(docs)
+    rejected = toxicity.score_documents(keyed, model, "__key").where(F.col("score") >= toxicity.THRESHOLD).select("__key").distinct()
+    return keyed.join(rejected.hint("merge"), "__key", "left_anti").select(docs.columns)
 
 
 def drop_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,9 +62,8 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark window go; a null id stands for its text."""
-    key = F.coalesce(F.col("doc_id").cast("string"), F.concat(F.lit("text "), F.md5("text")))
-    keyed = docs.withColumn("__key", key)
+    """Documents that hold a benchmark window go."""
+    keyed = _keyed(docs)
     hit = winnow.decontaminate(keyed, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), "__key").where("n_hit > 0").select("__key").distinct()
     return keyed.join(hit.hint("merge"), "__key", "left_anti").select(docs.columns)
 
