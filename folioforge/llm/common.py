@@ -9,6 +9,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 
@@ -102,6 +103,15 @@ def is_held_out(doc_id):
     return (F.crc32(F.col(doc_id).cast("string").cast("binary")) % 5) == 0
 
 
+def first_of_each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first row of each value of the first column in a task; a training sample bounds the values."""
+    seen: set = set()
+    for batch in batches:
+        fresh = [v not in seen and not seen.add(v) for v in batch.column(0).to_pylist()]
+        if any(fresh):
+            yield batch.filter(pa.array(fresh))
+
+
 #: Bytes of text that a training sample holds at most; a documented bound, as is the number of its documents.
 SAMPLE_BYTES = 128 << 20
 
@@ -113,7 +123,8 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_column: str, most:
     The order in which documents are chosen depends on their ids alone; the
     first ones whose texts fit ``most_bytes`` are taken.  A document with
     several labels has the largest, one with several texts that of the smallest
-    hash; null labels and ids take no part.
+    hash; null labels and ids take no part.  Rows of one id come to one task,
+    where ``first_of_each`` leaves one of them.
     """
     usable = labels.where(F.col(label_column).isNotNull() & F.col("doc_id").isNotNull() & ~is_held_out("doc_id"))
     chosen = usable.groupBy(F.col("doc_id").alias("_id")).agg(F.max(label_column).cast("int").alias("label")).orderBy(F.xxhash64("_id"), "_id").limit(most)
@@ -123,8 +134,9 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label_column: str, most:
     sized = own.join(F.broadcast(chosen), F.col("id") == F.col("_id")).groupBy("_id", "label").agg(F.min("own").alias("own"))
     before = F.sum("own.size").over(Window.orderBy(F.xxhash64("_id"), "_id"))
     fitting = sized.withColumn("total", before).where(F.col("total") <= most_bytes).select("_id", "label", F.col("own.print").alias("print"))
-    found = plain.join(F.broadcast(fitting), (F.col("id") == F.col("_id")) & (F.xxhash64("text") == F.col("print")))
-    return found.groupBy("id", "label").agg(F.min("text").alias("text")).select("id", "text", "label")
+    found = plain.join(F.broadcast(fitting), (F.col("id") == F.col("_id")) & (F.xxhash64("text") == F.col("print"))).select("id", "text", "label")
+    # Repeated rows go in the scan, then those of several tasks; no sort of texts.
+    return found.mapInArrow(first_of_each, found.schema).repartition("id")
 
 
 def with_decision(scored: DataFrame, id_column: str, threshold: float) -> DataFrame:

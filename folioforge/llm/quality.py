@@ -28,7 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import labelled_sample, with_decision
+from .common import first_of_each, labelled_sample, with_decision
 from .textkernel import NON_SPACE, Poly, Words, chunks, positions_in_group, utf8
 
 PASSAGE = 100
@@ -150,7 +150,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, id_column: s
     """Fit on a bounded sample; its passage vectors, not its texts, come to the driver."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in first_of_each(batches):
             row = 0
             for ids, buf, offsets in chunks([batch], ["id", "text"]):
                 per_doc, x = passages(buf, offsets)
