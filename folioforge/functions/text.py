@@ -129,25 +129,19 @@ def split_by_brackets(c: Column | str) -> Column:
 def format_output(c: Column | str) -> Column:
     """Lay out an answer: fields set apart, legal bases one to a line, one line end at the end."""
     lines = F.filter(F.transform(F.split(strip(c), "\n", -1), strip), lambda x: x != "")
-    text = F.array().cast("array<string>")
-    begin = F.struct(text.alias("out"), F.lit(False).alias("law"))
-    others = "|".join(OTHER_FIELDS)
-
-    def step(state: Column, line: Column) -> Column:
-        heads_law = F.regexp_like(line, F.lit(rf"\A{LAW_FIELD}[：:]"))
-        heads_other = F.regexp_like(line, F.lit(rf"\A(?:{others})[：:]"))
-        rest = F.regexp_replace(line, rf"(?U)\A{LAW_FIELD}[：:]\s*", "")
+    heads = "|".join((LAW_FIELD, *OTHER_FIELDS))
+    # Each section begins with a field's line; lines before the first field are one as well.
+    sections = F.split(F.array_join(lines, "\n"), rf"\n(?=(?:{heads})[：:])", -1)
+
+    def laid(section: Column) -> Column:
+        own = F.split(section, "\n", -1)
         pieces = lambda x: F.filter(split_before_brackets(x), lambda p: p != "")
-        out = (
-            F.when(heads_law, F.concat(state["out"], F.array(F.lit(""), F.lit(LAW_FIELD + "：")), pieces(rest)))
-            .when(heads_other, F.concat(state["out"], F.array(F.lit(""), line)))
-            .when(state["law"], F.concat(state["out"], pieces(line)))
-            .otherwise(F.concat(state["out"], F.array(line)))
-        )
-        return F.struct(out.alias("out"), F.when(heads_law, F.lit(True)).when(heads_other, F.lit(False)).otherwise(state["law"]).alias("law"))
-
-    laid = F.aggregate(lines, begin, step, lambda s: F.array_join(s["out"], "\n"))
-    return F.when(F.size(lines) == 0, F.lit("")).otherwise(F.concat(strip(laid), F.lit("\n")))
+        rest = lambda x, i: F.when(i == 0, F.regexp_replace(x, rf"(?U)\A{LAW_FIELD}[：:]\s*", "")).otherwise(x)
+        law = F.concat(F.array(F.lit(""), F.lit(LAW_FIELD + "：")), F.flatten(F.transform(F.transform(own, rest), pieces)))
+        return F.when(F.regexp_like(section, F.lit(rf"\A{LAW_FIELD}[：:]")), law).when(F.regexp_like(section, F.lit(rf"\A(?:{heads})[：:]")), F.concat(F.array(F.lit("")), own)).otherwise(own)
+
+    text = F.array_join(F.flatten(F.transform(sections, laid)), "\n")
+    return F.when(F.size(lines) == 0, F.lit("")).otherwise(F.concat(strip(text), F.lit("\n")))
 
 
 def markdown_table(rows: Column | str, join_lines: bool = False) -> Column:

@@ -25,6 +25,30 @@ def failure_runs(calls: DataFrame, keys: list[str], order: str, failed: Column)
     return marked.where("_f = 1").groupBy(*keys, "_n").agg(F.min(order).alias("run_start"), F.count("*").alias("run_length")).drop("_n")
 
 
+def _folded(items: Column, begin: list[Column], step, kind: str) -> Column:
+    """Array with a value for each item, from a state that is carried through them in order.
+
+    ``begin`` are the fields of the first state and ``step(state, item)`` gives
+    (fields of the next state, value).  Values are gathered in blocks of about
+    the cube root of the number of items, since appending copies an array: n
+    items cost some n ** (4 / 3) copies.
+    """
+    block = F.greatest(F.lit(1), F.ceil(F.cbrt(F.size(items)))).cast("int")
+    blocks = F.transform(F.sequence(F.lit(0), ((F.size(items) - 1) / block).cast("int")), lambda b: F.slice(items, b * block + 1, block))
+    names = [f"s{i}" for i in range(len(begin))]
+    state = lambda fields, values: F.struct(*[f.alias(n) for f, n in zip(fields, names, strict=True)], values.alias("values"))
+
+    def one(s: Column, item: Column) -> Column:
+        fields, value = step([s[n] for n in names], item)
+        return state(fields, F.concat(s["values"], F.array(value)))
+
+    def many(s: Column, part: Column) -> Column:
+        fresh = state([s[n] for n in names], F.array().cast(f"array<{kind}>"))
+        return F.aggregate(part, fresh, one, lambda r: state([r[n] for n in names], F.concat(s["values"], F.array(r["values"]))))
+
+    return F.aggregate(blocks, state(begin, F.array().cast(f"array<array<{kind}>>")), many, lambda s: F.flatten(s["values"]))
+
+
 def breaker(calls: DataFrame, keys: list[str], order: list[str], at: str, failed: str, threshold: int, open_for: int) -> DataFrame:
     """Adds ``outcome``: success, failed or rejected, by a circuit breaker for each key.
 
@@ -36,16 +60,15 @@ def breaker(calls: DataFrame, keys: list[str], order: list[str], at: str, failed
     """
     item = F.struct(*order, F.col(at).cast("long").alias("_at"), F.col(failed).alias("_failed"))
     listed = calls.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("_calls"))
-    empty = F.struct(F.lit(0).cast("long").alias("count"), F.lit(None).cast("long").alias("until"), F.array().cast("array<string>").alias("out"))
 
-    def step(s: Column, c: Column) -> Column:
-        shut = s["until"].isNotNull() & (c["_at"] < s["until"])
-        count = F.when(shut, s["count"]).when(c["_failed"], s["count"] + 1).otherwise(F.lit(0).cast("long"))
-        until = F.when(shut, s["until"]).when(c["_failed"] & (count >= threshold), c["_at"] + F.lit(open_for).cast("long")).when(~c["_failed"], F.lit(None).cast("long")).otherwise(s["until"])
-        outcome = F.when(shut, "rejected").when(c["_failed"], "failed").otherwise("success")
-        return F.struct(count.alias("count"), until.alias("until"), F.concat(s["out"], F.array(outcome)).alias("out"))
+    def step(state: list[Column], c: Column) -> tuple[list[Column], Column]:
+        count, until = state
+        shut = until.isNotNull() & (c["_at"] < until)
+        failures = F.when(shut, count).when(c["_failed"], count + 1).otherwise(F.lit(0).cast("long"))
+        opened = F.when(shut, until).when(c["_failed"] & (failures >= threshold), c["_at"] + F.lit(open_for).cast("long")).when(~c["_failed"], F.lit(None).cast("long")).otherwise(until)
+        return [failures, opened], F.when(shut, "rejected").when(c["_failed"], "failed").otherwise("success")
 
-    folded = listed.withColumn("_out", F.aggregate("_calls", empty, step, lambda s: s["out"]))
+    folded = listed.withColumn("_out", _folded(F.col("_calls"), [F.lit(0).cast("long"), F.lit(None).cast("long")], step, "string"))
     zipped = folded.select(*keys, F.explode(F.arrays_zip("_calls", "_out")).alias("z"))
     return zipped.select(*keys, *[F.col(f"z._calls.{o}").alias(o) for o in order], F.col("z._out").alias("outcome"))
 
@@ -58,13 +81,13 @@ def throttle(progress: DataFrame, keys: list[str], order: str, at: str, total: s
     """
     item = F.struct(F.col(order).cast("long").alias("n"), F.col(at).cast("long").alias("at"), F.col(total).cast("long").alias("total"))
     listed = progress.groupBy(*keys).agg(F.array_sort(F.collect_list(item)).alias("_steps"))
-    empty = F.struct(F.lit(None).cast("long").alias("last"), F.array().cast("array<boolean>").alias("out"))
 
-    def step(s: Column, c: Column) -> Column:
-        emit = (c["n"] == 0) | (c["n"] == c["total"]) | (c["n"] % every == 0) | s["last"].isNull() | (c["at"] - s["last"] >= seconds)
-        return F.struct(F.when(emit, c["at"]).otherwise(s["last"]).alias("last"), F.concat(s["out"], F.array(emit)).alias("out"))
+    def step(state: list[Column], c: Column) -> tuple[list[Column], Column]:
+        (last,) = state
+        emit = (c["n"] == 0) | (c["n"] == c["total"]) | (c["n"] % every == 0) | last.isNull() | (c["at"] - last >= seconds)
+        return [F.when(emit, c["at"]).otherwise(last)], emit
 
-    folded = listed.withColumn("_out", F.aggregate("_steps", empty, step, lambda s: s["out"]))
+    folded = listed.withColumn("_out", _folded(F.col("_steps"), [F.lit(None).cast("long")], step, "boolean"))
     return folded.select(*keys, F.explode(F.arrays_zip("_steps", "_out")).alias("z")).select(*keys, F.col("z._steps.n").alias(order), F.col("z._steps.at").alias(at), F.col("z._steps.total").alias(total), F.col("z._out").alias("emit"))
 
 
