@@ -35,12 +35,27 @@ def output_names(tasks: DataFrame, pattern: str = "", title_prefix: str = "", su
     return named.withColumn("file", F.concat("_name", F.lit(".md"))).withColumn("title_line", line).drop("_name")
 
 
-def unique_names(df: DataFrame, name: str = "file", order: str = "ord") -> DataFrame:
+def _numbered(names: DataFrame) -> DataFrame:
+    """(base, k): names that look like the k-th holder of a base name."""
+    stem, kind = T.file_stem("name"), T.extension("name")
+    parts = names.select(F.regexp_extract(stem, r"^(.+)_(\d{1,9})$", 1).alias("stem"), F.regexp_extract(stem, r"^(.+)_(\d{1,9})$", 2).alias("k"), kind.alias("kind"))
+    return parts.where("stem <> ''").groupBy(F.concat("stem", "kind").alias("base")).agg(F.max(F.col("k").cast("int")).alias("most"))
+
+
+def unique_names(df: DataFrame, name: str = "file", order: str = "ord", taken: DataFrame | None = None) -> DataFrame:
     """Second and later holders of one name get ``_1``, ``_2`` before the extension.
 
+    ``taken`` (name) holds names of other outputs, which no row gets.  Numbers go
+    on behind the largest that a taken name, or a name of a row, has already.
     Numbering needs the rows of one name in order; the sort of a name that
     many rows share spills to disk.
     """
-    rank = F.row_number().over(Window.partitionBy(name).orderBy(order)) - 1
-    numbered = F.concat(T.file_stem(name), F.lit("_"), F.col("_n").cast("string"), T.extension(name))
-    return df.withColumn("_n", rank).withColumn(name, F.when(F.col("_n") > 0, numbered).otherwise(F.col(name))).drop("_n")
+    own = df.select(F.col(name).alias("name"))
+    others = taken.select(F.col(taken.columns[0]).alias("name")) if taken is not None else own.limit(0)
+    most = _numbered(own.union(others)).select(F.col("base").alias(name), F.col("most").alias("_most"))
+    held = others.distinct().select(F.col("name").alias(name), F.lit(1).alias("_held"))
+    rank = F.row_number().over(Window.partitionBy(name).orderBy(order)) - 1 + F.coalesce("_held", F.lit(0))
+    number = F.col("_n") + F.coalesce("_most", F.lit(0))
+    numbered = F.concat(T.file_stem(name), F.lit("_"), number.cast("string"), T.extension(name))
+    out = df.join(most, name, "left").join(held, name, "left").withColumn("_n", rank).withColumn("_new", F.when(F.col("_n") > 0, numbered).otherwise(F.col(name)))
+    return out.select(*[F.col("_new").alias(c) if c == name else F.col(c) for c in df.columns])

@@ -138,15 +138,16 @@ class Client:
         return {"success": False, "content": None, "error": error, "attempts": attempt, "elapsed": self.clock() - began}
 
 
-def call_model(prompts: DataFrame, backend: Backend, config: ApiConfig, workers: int = 5, system: str | None = None) -> DataFrame:
+def call_model(prompts: DataFrame, backend: Backend, config: ApiConfig, workers: int = 5, system: str | None = None, on_retry=None) -> DataFrame:
     """prompts (task_id, prompt) to RESULT rows; write the result down before using it twice.
 
     Rows are dealt out by id over ``workers`` partitions, each with spacing
-    ``workers * api_interval``.
+    ``workers * api_interval``.  ``on_retry(attempt, error, wait)`` is called on
+    the executor before each wait.
     """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        client = Client(backend, config, config.api_interval * workers)
+        client = Client(backend, config, config.api_interval * workers, on_retry=on_retry)
         for frame in frames:
             rows = [{"task_id": i, **client.call(p, system or None)} for i, p in zip(frame["task_id"], frame["prompt"], strict=True)]
             yield pd.DataFrame(rows, columns=["task_id", "success", "content", "error", "attempts", "elapsed"]).astype({"attempts": "int32"})

@@ -1,7 +1,8 @@
 """The run: tasks, resume, page text, prompts, model, answers, outputs, progress.
 
-Everything up to the model call is one lazy plan; the answers are written down
-once, and files, progress and figures derive from that table.
+Everything up to the model call is one lazy plan, which is written down once;
+answers are written piece by piece, and files, progress and figures derive from
+these tables.
 """
 
 from __future__ import annotations
@@ -10,6 +11,7 @@ import argparse
 import json
 import sys
 import time
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import reduce
 
@@ -22,6 +24,8 @@ from ..sources import config as C, progress, sinks, tasks as S
 # Fixed values --------------------------------------------------------------
 SHORT_TEXT = 20
 INTERP_SUFFIX = "司法解释"
+#: The prompts of a run are answered in so many pieces at most, with a progress notice between two.
+MOST_PIECES = 20
 # ---------------------------------------------------------------------------
 
 
@@ -95,13 +99,13 @@ def routed(tasks: DataFrame, run: C.RunConfig) -> DataFrame:
     return tasks.withColumn("route", route).withColumn("prompt", prompt).withColumn("kind", kind)
 
 
-def named(tasks: DataFrame, run: C.RunConfig) -> DataFrame:
-    """Adds file and title_line; plain outputs go by their id."""
+def named(tasks: DataFrame, run: C.RunConfig, taken: DataFrame | None = None) -> DataFrame:
+    """Adds file and title_line; plain outputs go by their id.  ``taken`` holds the file names of other tasks."""
     out = naming.output_names(tasks, run.filename_pattern, run.title_prefix, INTERP_SUFFIX)
     empty = F.concat(F.lit("第"), F.coalesce("num", F.lit("")), F.lit("条【"), T.safe_name(F.coalesce("title", F.lit("")), naming.TITLE_MOST), F.lit(f"】{INTERP_SUFFIX}.md"))
     plain = F.concat(T.safe_name("task_id", naming.NAME_MOST), F.lit(".md"))
     out = out.withColumn("file", F.when(F.col("route") == "empty", empty).when(F.col("kind") == "plain", plain).otherwise(F.col("file")))
-    return naming.unique_names(out)
+    return naming.unique_names(out, taken=taken)
 
 
 def answered(routes: DataFrame, answers: DataFrame) -> DataFrame:
@@ -129,30 +133,79 @@ def plan(spark: SparkSession, cfg: C.Config, inputs: Inputs) -> tuple[DataFrame,
     done = progress.load(spark, cfg.run.progress_path)
     todo = resume.pending(tasks, done, cfg.run.resume, cfg.run.retry_failed)
     texts = with_text(todo, inputs.pages, inputs.page_tables, P.ranges_table(spark, cfg.page_ranges), inputs.pdf_id)
-    return tasks, named(routed(texts, cfg.run), cfg.run), done
+    # Tasks that are not done again keep the files that they have.
+    taken = None
+    if cfg.run.output_dir:
+        taken = sinks.load_outputs(spark, _outputs_at(cfg)).join(todo.select("task_id"), "task_id", "left_anti").select("file")
+    return tasks, named(routed(texts, cfg.run), cfg.run, taken), done
+
+
+def _outputs_at(cfg: C.Config) -> str:
+    return f"{cfg.run.output_dir or '.'}/outputs.parquet"
+
+
+def _answers(prompts: DataFrame, folder: str, call, pieces: int, report) -> DataFrame:
+    """Answers of all prompts, written piece by piece; ``report(counts)`` after each piece but the last.
+
+    What is written is never asked again: a lost executor repeats calls of its own piece only.
+    """
+    spark, places = prompts.sparkSession, []
+    piece = F.pmod(F.xxhash64("task_id"), F.lit(pieces))
+    for i in range(pieces):
+        places.append(f"{folder}/{i}")
+        call(prompts.where(piece == i)).write.parquet(places[-1])
+        if i < pieces - 1:
+            report(spark.read.schema(model_map.RESULT).parquet(*places).agg(F.count_if("success").alias("success"), F.count_if(~F.col("success")).alias("failed"), F.max("task_id").alias("item")).first())
+    return spark.read.schema(model_map.RESULT).parquet(*places)
+
+
+def listing(tasks: DataFrame) -> Iterator[tuple[str | None, str]]:
+    """(heading, label) of the tasks in order, a partition at a time; see ``rollup.dry_run`` for lists by key."""
+    before = None
+    for r in tasks.select("ord", "grp", "label").orderBy("ord").toLocalIterator():
+        group = r["grp"] or None
+        yield (group if group and group != before else None), r["label"]
+        before = group or before
 
 
 def run(spark: SparkSession, cfg: C.Config, inputs: Inputs, backend: model_map.Backend | None = None, notifier: sinks.Notifier | None = None, dry_run: bool = False) -> dict:
     """Run a configuration; the summary as a dict (or counts and labels of a dry run)."""
     tasks, routes, done = plan(spark, cfg, inputs)
     if dry_run:
-        rows = rollup.dry_run(tasks).orderBy("ord").select("heading", "label").collect()
-        return {"total": len(rows), "dry_run": True, "labels": [tuple(r) for r in rows]}
+        return {"total": tasks.count(), "dry_run": True, "labels": list(listing(tasks))}
     began, folder = time.time(), cfg.run.output_dir or "."
     stamp = f"{time.time_ns()}"
     counts = resume.initial_counts(tasks, done, cfg.run.resume).first()
     name = F.lit(cfg.run.name)
     if notifier and cfg.run.notify:
         sinks.send_all(spark.range(1).select(N.start_card(name, F.lit(counts["total"]), F.lit(""), F.current_timestamp()).alias("card")), notifier)
+    # Routes and answers are written down once and everything else derives from these tables.
+    routes_at = f"{folder}/_routes/{stamp}"
+    routes.write.parquet(routes_at)
+    routes = spark.read.schema(routes.schema).parquet(routes_at)
     # Only prompts of the model route reach the backend: a Python stage would run for every row otherwise.
-    answers_at = f"{folder}/_answers/{stamp}"
-    model_map.call_model(routes.where("route = 'model'"), backend or model_map.HttpBackend(cfg.api), cfg.api, cfg.run.max_workers, cfg.run.system).write.parquet(answers_at)
+    prompts = routes.where("route = 'model'").select("task_id", "prompt")
+    asked, noticed = prompts.count(), [0.0]
+    pieces = max(1, min(MOST_PIECES, asked // max(1, cfg.run.notify_tasks)))
+
+    def report(counts) -> None:
+        current, minutes = counts["success"] + counts["failed"], (time.time() - began) / 60
+        every = asked // pieces >= cfg.run.notify_tasks
+        if not (notifier and cfg.run.notify) or not (every or time.time() - noticed[0] >= cfg.run.notify_seconds):
+            return
+        noticed[0] = time.time()
+        left = F.lit(minutes / current * (asked - current)) if current else F.lit(None).cast("double")
+        card = N.progress_card(name, F.lit(current), F.lit(asked), F.lit(counts["success"]), F.lit(counts["failed"]), F.lit(0), F.lit(minutes), left, F.lit(counts["item"]))
+        sinks.send_all(spark.range(1).select(card.alias("card")), notifier)
+
+    call = lambda some: model_map.call_model(some, backend or model_map.HttpBackend(cfg.api), cfg.api, cfg.run.max_workers, cfg.run.system)
+    answers = _answers(prompts, f"{folder}/_answers/{stamp}", call, pieces, report)
     results_at = f"{folder}/_results/{stamp}"
     columns = ["task_id", "ord", "status", "error", "elapsed", "file", "title_line", "kind", "content", "titles"]
-    answered(routes, spark.read.parquet(answers_at)).select(columns).write.parquet(results_at)
+    answered(routes, answers).select(columns).write.parquet(results_at)
     results = spark.read.parquet(results_at)
     good = sinks.with_content(results.where("status = 'success'"))
-    sinks.write_outputs(good, f"{folder}/outputs.parquet")
+    sinks.write_outputs(good, _outputs_at(cfg))
     if cfg.run.output_dir:
         sinks.export_markdown(good, folder).count()
     if cfg.run.progress_path:
@@ -173,14 +226,18 @@ def _main(raw: dict, argv: list[str], mock: bool) -> int:
     parser = argparse.ArgumentParser()
     parser.add_argument("--dry-run", action="store_true")
     parser.add_argument("--retry-failed", action="store_true")
-    parser.add_argument("--pages", help="table of pages, or PDF files")
+    parser.add_argument("--pages", help="table of pages, or a PDF file")
+    parser.add_argument("--page-tables", help="table of the tables on the pages; a PDF file is read for them as well")
     args = parser.parse_args(argv)
     cfg = C.parse(raw)
     if args.retry_failed:
         cfg = reduce(lambda c, _: type(c)(**{**c.__dict__, "run": type(c.run)(**{**c.run.__dict__, "retry_failed": True})}), [0], cfg)
     spark = SparkSession.builder.getOrCreate()
-    table = pages.read_pages(spark, args.pages or cfg.pdf_path)
-    result = run(spark, cfg, Inputs(table, None, cfg.pdf_path), model_map.MockBackend() if mock else None, dry_run=args.dry_run)
+    source = args.pages or cfg.pdf_path
+    book = cfg.pdf_path or source
+    drawn = args.page_tables or (None if source.endswith((".parquet", ".json", ".jsonl")) else source)
+    inputs = Inputs(pages.read_pages(spark, source, book), pages.read_tables(spark, drawn, book) if drawn else None, book)
+    result = run(spark, cfg, inputs, model_map.MockBackend() if mock else None, dry_run=args.dry_run)
     print(json.dumps(result, ensure_ascii=False, default=str))
     return 1 if result.get("failed") else 0
 

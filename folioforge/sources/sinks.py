@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window, functions as F
 
 from ..functions import text as T
 from . import config as C
+from .scratch import file_system, qualified
 
 # Fixed values --------------------------------------------------------------
 SUB_FOLDERS = ("输入", "脚本", "测试", "输出", "日志")
@@ -28,9 +29,31 @@ def with_content(results: DataFrame) -> DataFrame:
     return results.withColumn("body", F.when(F.col("kind") == "titles", T.title_list("titles")).when(F.col("kind") == "titled", F.concat("title_line", F.lit("\n"), "content")).otherwise(F.col("content")))
 
 
+OUTPUTS = "task_id string, file string, body string, chars int"
+
+
+def load_outputs(spark: SparkSession, folder: str) -> DataFrame:
+    """The product of the runs so far; none gives an empty table."""
+    fs, path = file_system(spark, folder)
+    new = file_system(spark, f"{folder}.new")[1]
+    # A run that ended between writing the new table and taking the old one's place.
+    if not fs.exists(path) and fs.exists(file_system(spark, f"{folder}.new/_SUCCESS")[1]):
+        fs.rename(new, path)
+    return spark.read.schema(OUTPUTS).parquet(folder) if fs.exists(path) else spark.createDataFrame([], OUTPUTS)
+
+
 def write_outputs(outputs: DataFrame, folder: str) -> None:
-    """The product: a Parquet table (task_id, file, body, chars)."""
-    outputs.select("task_id", "file", "body", F.length("body").alias("chars")).write.mode("append").parquet(folder)
+    """The product: a Parquet table (task_id, file, body, chars) with one row a task; a new row wins.
+
+    The new table is written whole beside the old one and then takes its place.
+    """
+    spark = outputs.sparkSession
+    fresh = outputs.select("task_id", "file", "body", F.length("body").alias("chars"))
+    kept = load_outputs(spark, folder).join(fresh.select("task_id"), "task_id", "left_anti")
+    kept.select(fresh.columns).union(fresh).write.mode("overwrite").parquet(f"{folder}.new")
+    fs, path = file_system(spark, folder)
+    fs.delete(path, True)
+    fs.rename(file_system(spark, f"{folder}.new")[1], path)
 
 
 def export_markdown(outputs: DataFrame, folder: str) -> DataFrame:
@@ -40,8 +63,10 @@ def export_markdown(outputs: DataFrame, folder: str) -> DataFrame:
     leaves whole files only.
     """
 
+    place = qualified(outputs.sparkSession, folder)
+
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        fs, root = pyarrow.fs.FileSystem.from_uri(folder) if "://" in folder else (pyarrow.fs.LocalFileSystem(), folder)
+        fs, root = (pyarrow.fs.LocalFileSystem(), "/" + place.removeprefix("file:").lstrip("/")) if place.startswith("file:") else pyarrow.fs.FileSystem.from_uri(place)
         for frame in frames:
             fs.create_dir(root, recursive=True)
             for name, body in zip(frame["file"], frame["body"], strict=True):

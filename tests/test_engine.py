@@ -249,6 +249,108 @@ def test_run_custom_resume_and_retry(spark, tmp_path, book):
     assert R.run(spark, config(tmp_path, tasks), book, Answers())["total"] == 0
 
 
+def test_names_and_outputs_over_resumed_runs(spark, tmp_path, book):
+    """A task that is done later takes no other task's file; the product has one row a task."""
+    tasks = [{"id": "a/b", "pages": [1]}, {"id": "ab", "pages": [3], "label": "boom"}, {"id": "ab_1", "pages": [1]}]
+    R.run(spark, config(tmp_path, tasks), book, Answers())
+    R.run(spark, config(tmp_path, tasks), book, model_map.MockBackend())
+    got = outputs(spark, tmp_path)
+    assert {k: v[0] for k, v in got.items()} == {"a/b": "ab.md", "ab_1": "ab_1.md", "ab": "ab_2.md"}
+    for file, body in got.values():
+        assert (tmp_path / "out" / file).read_text(encoding="utf-8") == body
+    R.run(spark, config(tmp_path, tasks, settings={"resume": False}), book, model_map.MockBackend())
+    table = spark.read.parquet(str(tmp_path / "out/outputs.parquet"))
+    assert sorted(r["task_id"] for r in table.collect()) == ["a/b", "ab", "ab_1"] and table.select("file").distinct().count() == 3
+
+
+def test_outputs_survive_a_crash_between_tables(spark, tmp_path):
+    place = str(tmp_path / "outputs.parquet")
+    row = lambda i, body: spark.createDataFrame([(i, i + ".md", body)], "task_id string, file string, body string")
+    sinks.write_outputs(row("a", "one"), place)
+    sinks.write_outputs(row("b", "two"), place)
+    sinks.write_outputs(row("a", "three"), place)
+    os.rename(place, place + ".new")  # the old one is gone, the new one not in its place
+    assert sorted(rows(sinks.load_outputs(spark, place), "task_id", "body", "chars")) == [("a", "three", 5), ("b", "two", 3)]
+
+
+def test_unique_names(spark):
+    from folioforge.functions import naming
+
+    df = spark.createDataFrame([(i, n) for i, n in enumerate(["a.md", "a.md", "a_1.md", "a_1.md", "b.md", "c", "c", "d.md"])], "ord int, file string")
+    plain = [r["file"] for r in naming.unique_names(df).orderBy("ord").collect()]
+    assert plain == ["a.md", "a_2.md", "a_1.md", "a_1_1.md", "b.md", "c", "c_1", "d.md"]
+    taken = spark.createDataFrame([("b.md",), ("d_7.md",), ("c_4",)], "file string")
+    got = [r["file"] for r in naming.unique_names(df, taken=taken).orderBy("ord").collect()]
+    assert got == ["a.md", "a_2.md", "a_1.md", "a_1_1.md", "b_1.md", "c", "c_5", "d.md"]
+
+
+def test_progress_notices_and_pieces(spark, tmp_path, book):
+    """Prompts are answered in pieces, with a notice between two of them."""
+    raw = [{"id": f"t{i}", "pages": [1]} for i in range(30)]
+    cfg = config(tmp_path, raw)
+    cfg = type(cfg)(**{**cfg.__dict__, "run": type(cfg.run)(**{**cfg.run.__dict__, "notify_tasks": 10})})
+    log = sinks.LogNotifier()
+    out = R.run(spark, cfg, book, Answers(), log)
+    assert out["success"] == 30
+    titles = [json.loads(c)["header"]["title"]["content"].split(" - ")[0] for c in log.cards]
+    assert titles == ["任务开始", "进度报告", "进度报告", "任务完成"]
+    (answers,) = (tmp_path / "out/_answers").iterdir()
+    assert len(list(answers.iterdir())) == 3
+
+
+class Page:
+    def __init__(self, text, tables):
+        self.text, self.tables = text, tables
+
+    def extract_text(self):
+        return self.text
+
+    def extract_tables(self):
+        return self.tables
+
+
+class Book:
+    """A stand-in for a parsed file: pages are separated by form feeds, cells by bars."""
+
+    def __init__(self, content):
+        pages = content.decode().split("\f")
+        self.pages = [Page(p, [[x.split("|") for x in p.split("\n") if "|" in x]] if "|" in p else []) for p in pages]
+
+    def __enter__(self):
+        return self
+
+    def __exit__(self, *error):
+        return None
+
+
+def test_pdf_run_from_the_command_line(spark, tmp_path, monkeypatch, capsys):
+    """Pages and tables of the file that the configuration names reach the tasks."""
+    monkeypatch.setattr(page_source, "parser", Book)
+    pdf = tmp_path / "book.pdf"
+    pdf.write_bytes("第一页的正文写在这里，超过二十个字才行，一二三四五六七。\fh|k\nv|w".encode())
+    raw = {"api": {"url": "mock:", "key": "k"}, "input": {"data_source": "list", "task_list": [{"id": "text", "pages": [1]}, {"id": "drawn", "type": "table", "pages": [2]}], "pdf_path": str(pdf)}, "output": {"dir": str(tmp_path / "out")}, "settings": {"api_interval": 0}, "prompt": {"template": ""}}
+    (tmp_path / "table.json").write_text("{}")
+    assert R._main(raw, [], mock=True) == 0
+    assert json.loads(capsys.readouterr().out.strip().splitlines()[-1])["success"] == 2
+    got = outputs(spark, tmp_path)
+    assert got["drawn"][1] == "| h | k |\n|---|---|\n| v | w |"
+    texts = spark.read.parquet(str(tmp_path / "out/_routes/*"))
+    assert {r["task_id"]: r["text"] for r in texts.collect()}["text"].startswith("第一页")
+
+
+def test_retry_hook_is_reachable(spark, tmp_path):
+    place = str(tmp_path / "retries")
+
+    def note(attempt, error, wait):
+        with open(place, "a") as f:
+            f.write(f"{attempt} {wait}\n")
+
+    prompts = spark.createDataFrame([("a", "boom")], "task_id string, prompt string")
+    config = C.ApiConfig("mock:", "", max_retries=3, retry_base_delay=0.01, api_interval=0.0)
+    assert not model_map.call_model(prompts, Answers(), config, on_retry=note).first()["success"]
+    assert open(place).read().splitlines() == ["1 0.01", "2 0.02"]
+
+
 def test_run_dry(spark, tmp_path, book):
     out = R.run(spark, config(tmp_path, source="json", data={"items": [{"evidence": "e", "name": "n"}, {"evidence": "e", "name": "m"}]}), book, dry_run=True)
     assert out == {"total": 2, "dry_run": True, "labels": [("e", "n"), (None, "m")]}
