@@ -29,6 +29,12 @@ def shared_dir(spark: SparkSession) -> str:
     return place.rstrip("/")
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """The path with the scheme that Spark resolves it to, so that other libraries mean the same place."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).makeQualified(p).toString()
+
+
 #: Scratch paths of this driver that have not been dropped.
 _made: list[str] = []
 

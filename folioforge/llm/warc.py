@@ -2,28 +2,37 @@
 
 Reader (``spark.read.format("warc").load(folder)``): plans partitions from the
 committed files, takes over equality and IN filters on the record type and on
-the promoted header columns, parses a record's headers first, and skips the
-payload bytes of records that the filters reject or whose payload is not asked
-for (option ``payload`` = ``false``) without decoding them.
+the promoted header columns, and parses a record's headers first.  A record is
+a gzip member whose extra field ``sl`` holds its compressed and its plain
+length, so the payload of a record that the filters reject, or whose payload is
+not asked for (option ``payload``: ``true``, ``false`` or the record types that
+want theirs), is passed over on disk and never inflated.  Members of other
+tools, without that field, are inflated in pieces and dropped.
 
 Writer (``df.write.format("warc").mode("append").save(folder)``): each task
 writes one gzip file, one member a record, under a name of its own; the commit
 writes a manifest of the files of successful attempts, and readers see
-manifests only, so a lost executor or a repeated task adds nothing.
+manifests only, so a lost executor or a repeated task adds nothing.  An
+overwrite commits its manifest before it deletes anything.
 
 Payloads are binary.  Files are reached through ``pyarrow.fs``; the folder must
 be on a file system that it knows (local or shared disk, HDFS, S3, GCS).
+``write_pages`` and ``read_pages`` resolve a path without a scheme as Spark does.
 
 Defined cases: a null payload is an empty payload; a null URI, date or header
-is left out; empty tables give an archive without records.
+is left out; rows repeated whole are records of their own, and of equal ids
+with one payload each is a response; ties go to the smallest id; a null id is
+an empty one, and its page is a response; a very long payload is one record,
+held whole in memory when it is written and when it is asked for; empty tables
+give an archive without records; other columns are not read.
 """
 
 from __future__ import annotations
 
 import gzip
-import hashlib
 import io
 import json
+import struct
 import uuid
 import zlib
 from collections.abc import Iterator
@@ -34,7 +43,7 @@ import pyarrow.fs
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceWriter, EqualTo, In, InputPartition, WriterCommitMessage
 
-from .common import scratch
+from .common import qualified, scratch
 
 LEAST_SHARED = 100
 _VERSION = b"WARC/1.1\r\n"
@@ -72,31 +81,39 @@ def record(row: dict) -> bytes:
     return _VERSION + "\r\n".join(lines).encode() + b"\r\n\r\n" + payload + b"\r\n\r\n"
 
 
-def parse_records(stream: io.BufferedIOBase, wanted, payload: bool) -> Iterator[dict]:
-    """Header fields of the wanted records, with ``payload`` bytes if asked for.
+_COLUMN_OF = {name.lower(): column for column, name in HEADERS.items()}
 
-    ``wanted`` sees the headers before the payload is read; unwanted payloads
-    are passed over in pieces and never kept.
-    """
-    column_of = {name.lower(): column for column, name in HEADERS.items()}
-    while True:
-        line = stream.readline()
-        if not line:
-            return
+
+def parse_head(lines: Iterator[bytes]) -> tuple[dict, int] | None:
+    """(header fields, Content-Length) of the next record; None at the end."""
+    for line in lines:
+        if line not in (b"\r\n", b"\n"):
+            break
+    else:
+        return None
+    if not line.startswith(b"WARC/"):
+        raise ValueError(f"not a WARC record: {line[:40]!r}")
+    head, length = {}, 0
+    for line in lines:
         if line in (b"\r\n", b"\n"):
-            continue
-        if not line.startswith(b"WARC/"):
-            raise ValueError(f"not a WARC record: {line[:40]!r}")
-        head: dict = {}
-        length = 0
-        while (line := stream.readline()) not in (b"\r\n", b"\n", b""):
-            name, _, value = line.decode("utf-8", "replace").partition(":")
-            name, value = name.strip().lower(), value.strip()
-            if name == "content-length":
-                length = int(value)
-            if name in column_of:
-                head[column_of[name]] = value
-        if wanted(head) and payload:
+            break
+        name, _, value = line.decode("utf-8", "replace").partition(":")
+        name, value = name.strip().lower(), value.strip()
+        if name == "content-length":
+            length = int(value)
+        if name in _COLUMN_OF:
+            head[_COLUMN_OF[name]] = value
+    return head, length
+
+
+def parse_records(stream: io.BufferedIOBase, wanted, payload) -> Iterator[dict]:
+    """Header fields of the wanted records, with ``payload`` bytes where ``payload(head)`` says so.
+
+    For plain streams: what is not asked for is read in pieces and dropped.
+    """
+    while (found := parse_head(iter(stream.readline, b""))) is not None:
+        head, length = found
+        if wanted(head) and payload(head):
             head["payload"] = stream.read(length)
             if len(head["payload"]) < length:
                 raise ValueError("a record ends before its Content-Length")
@@ -109,6 +126,97 @@ def parse_records(stream: io.BufferedIOBase, wanted, payload: bool) -> Iterator[
                 yield head
 
 
+# -- gzip members ------------------------------------------------------------
+#: Fixed values of the gzip format: magic number, deflate, extra field; the field's name and its size.
+_MAGIC, _FIELD, _START = b"\x1f\x8b\x08\x04", b"sl\x08\x00", 24
+
+
+def packed(data: bytes) -> bytes:
+    """A gzip member that tells its own compressed and plain length in the extra field ``sl``."""
+    packer = zlib.compressobj(6, zlib.DEFLATED, -15)
+    body = packer.compress(data) + packer.flush()
+    whole = _START + len(body) + 8
+    extra = _FIELD + struct.pack("<II", whole if whole < 1 << 32 else 0, len(data) & 0xFFFFFFFF)  # 0: not told
+    return _MAGIC + bytes(5) + b"\xff" + struct.pack("<H", len(extra)) + extra + body + struct.pack("<II", zlib.crc32(data), len(data) & 0xFFFFFFFF)
+
+
+class _Inflated:
+    """The plain bytes of a member's body, inflated only as far as they are asked for."""
+
+    def __init__(self, file, size: int):
+        self.file, self.left, self.engine, self.held = file, size, zlib.decompressobj(-15), b""
+        self.inflated = 0
+
+    def _more(self, most: int) -> bool:
+        data = self.engine.unconsumed_tail or self.file.read(min(self.left, 1 << 16))
+        if not self.engine.unconsumed_tail:
+            self.left -= len(data)
+        piece = b"" if self.engine.eof else self.engine.decompress(data, most)
+        self.inflated += len(piece)
+        self.held += piece
+        return bool(piece or data)
+
+    def lines(self) -> Iterator[bytes]:
+        while True:
+            while (at := self.held.find(b"\n")) < 0:
+                if not self._more(512):
+                    return
+            line, self.held = self.held[: at + 1], self.held[at + 1 :]
+            yield line
+
+    def read(self, size: int) -> bytes:
+        parts, got = [self.held], len(self.held)
+        while got < size:
+            self.held = b""
+            if not self._more(min(size - got, 1 << 20)):
+                break
+            parts.append(self.held)
+            got += len(self.held)
+        whole = b"".join(parts)
+        self.held = whole[size:]
+        return whole[:size]
+
+
+def parse_members(file, wanted, payload) -> Iterator[dict]:
+    """``parse_records`` of a file of gzip members; payloads that are not asked for are passed over on disk."""
+    at = 0
+    while True:
+        file.seek(at)
+        head = file.read(_START)
+        if not head:
+            return
+        size = struct.unpack("<I", head[16:20])[0] if head[:4] == _MAGIC and head[12:16] == _FIELD else 0
+        if size <= _START:  # another tool's member: no length to go by
+            file.seek(at)
+            yield from parse_records(gzip.open(io.BufferedReader(_Uncloseable(file))), wanted, payload)
+            return
+        body = _Inflated(file, size - _START - 8)
+        found = parse_head(body.lines())
+        if found and wanted(found[0]):
+            record, length = found
+            if payload(record):
+                record["payload"] = body.read(length)
+                if len(record["payload"]) < length:
+                    raise ValueError("a record ends before its Content-Length")
+            yield record
+        at += size
+
+
+class _Uncloseable(io.RawIOBase):
+    """The rest of a file as a plain stream; closing it leaves the file open."""
+
+    def __init__(self, file):
+        self.file = file
+
+    def readinto(self, room) -> int:
+        data = self.file.read(len(room))
+        room[: len(data)] = data
+        return len(data)
+
+    def readable(self) -> bool:
+        return True
+
+
 # -- data source -------------------------------------------------------------
 @dataclass
 class FilePartition(InputPartition):
@@ -118,7 +226,9 @@ class FilePartition(InputPartition):
 class WarcReader(DataSourceReader):
     def __init__(self, options):
         self.path = options["path"]
-        self.payload = str(options.get("payload", "true")).lower() != "false"
+        asked = str(options.get("payload", "true"))
+        #: None: all payloads; else the record types whose payload is asked for.
+        self.types = None if asked.lower() == "true" else set() if asked.lower() == "false" else {t.strip() for t in asked.split(",")}
         self.files_each = int(options.get("filesPerPartition", "1"))
         self.equal: dict[str, set] = {}
 
@@ -148,12 +258,15 @@ class WarcReader(DataSourceReader):
         fs, _ = _fs(self.path)
         equal = self.equal
         wanted = (lambda h: all(h.get(k) in v for k, v in equal.items())) if equal else (lambda h: True)
+        types = self.types
+        payload = lambda h: types is None or h.get("warc_type") in types
         names = [*HEADERS, "payload"]
         schema = pa.schema([(c, pa.string()) for c in HEADERS] + [("payload", pa.binary())])
         for name in partition.files:
-            with fs.open_input_stream(name, compression=None) as raw, (gzip.open(raw) if name.endswith(".gz") else io.BufferedReader(raw)) as stream:
+            with fs.open_input_file(name) as file:
                 rows, held = [], 0
-                for r in parse_records(stream, wanted, self.payload):
+                records = parse_members(file, wanted, payload) if name.endswith(".gz") else parse_records(io.BufferedReader(_Uncloseable(file)), wanted, payload)
+                for r in records:
                     rows.append(r)
                     held += len(r.get("payload", b"")) + 500
                     if held > 4 << 20:
@@ -179,8 +292,7 @@ class WarcWriter(DataSourceWriter):
             if out is None:
                 fs.create_dir(root, recursive=True)
                 out = fs.open_output_stream(f"{root}/{name}", compression=None)
-            packer = zlib.compressobj(6, zlib.DEFLATED, 31)
-            out.write(packer.compress(record(row.asDict())) + packer.flush())
+            out.write(packed(record(row.asDict())))
         if out is not None:
             out.close()
         return Written(name if out is not None else None)
@@ -188,13 +300,14 @@ class WarcWriter(DataSourceWriter):
     def commit(self, messages):
         fs, root = _fs(self.path)
         fs.create_dir(root, recursive=True)
-        if self.overwrite:
-            keep = {m.name for m in messages if m}
-            for f in fs.get_file_info(pa.fs.FileSelector(root)):
-                if f.base_name not in keep:
-                    fs.delete_file(f.path)
-        with fs.open_output_stream(f"{root}/_manifest-{uuid.uuid4().hex}.json") as s:
-            s.write(json.dumps(sorted(m.name for m in messages if m and m.name)).encode())
+        manifest, keep = f"_manifest-{uuid.uuid4().hex}.json", {m.name for m in messages if m and m.name}
+        before = [f.path for f in fs.get_file_info(pa.fs.FileSelector(root)) if f.base_name not in keep and f.is_file]
+        with fs.open_output_stream(f"{root}/.{manifest}") as s:
+            s.write(json.dumps(sorted(keep)).encode())
+        fs.move(f"{root}/.{manifest}", f"{root}/{manifest}")
+        if self.overwrite:  # the new manifest stands; old manifests go before their files
+            for path in sorted(before, key=lambda p: "_manifest-" not in p):
+                fs.delete_file(path)
 
     def abort(self, messages):
         fs, root = _fs(self.path)
@@ -260,7 +373,7 @@ def write_pages(pages: DataFrame, folder: str | None = None, **columns) -> str:
     """Write the archive of a page table; returns its folder."""
     spark = pages.sparkSession
     register(spark)
-    folder = folder or scratch(spark, "warc")
+    folder = qualified(spark, folder or scratch(spark, "warc"))
     page_records(pages, **columns).write.format("warc").mode("append").save(folder)
     return folder
 
@@ -268,15 +381,14 @@ def write_pages(pages: DataFrame, folder: str | None = None, **columns) -> str:
 def read_pages(spark: SparkSession, folder: str) -> DataFrame:
     """(page_id string, payload_bytes, payload_digest, record_type, refers_to string) from an archive.
 
-    Responses are read with their payloads, from which size and digest are
-    worked out; revisits are read by their headers only.
+    One scan: responses give their payloads, from which size and digest are
+    worked out; of revisits only the headers are inflated.
     """
     register(spark)
     page = lambda c: F.nullif(F.regexp_extract(c, "^<urn:page:(.*)>$", 1), F.lit(""))
-    full = spark.read.format("warc").load(folder).where("warc_type = 'response'").select("record_id", "warc_type", F.octet_length("payload").cast("bigint").alias("n"), F.sha2("payload", 256).alias("d"), "refers_to")
-    heads = spark.read.format("warc").option("payload", "false").load(folder).where("warc_type = 'revisit'").select("record_id", "warc_type", F.col("payload_length").cast("bigint").alias("n"), F.regexp_extract("payload_digest", "^sha256:(.*)$", 1).alias("d"), "refers_to")
-    return full.union(heads).select(page("record_id").alias("page_id"), F.col("n").alias("payload_bytes"), F.col("d").alias("payload_digest"), F.col("warc_type").alias("record_type"), page("refers_to").alias("refers_to"))
-
+    rows = spark.read.format("warc").option("payload", "response").load(qualified(spark, folder)).where("warc_type IN ('response', 'revisit')")
+    whole = F.col("warc_type") == "response"
+    size = F.when(whole, F.octet_length("payload")).otherwise(F.col("payload_length")).cast("bigint")
+    digest = F.when(whole, F.sha2("payload", 256)).otherwise(F.regexp_extract("payload_digest", "^sha256:(.*)$", 1))
+    return rows.select(page("record_id").alias("page_id"), size.alias("payload_bytes"), digest.alias("payload_digest"), F.col("warc_type").alias("record_type"), page("refers_to").alias("refers_to"))
 
-def digest_of(payload: bytes | None) -> str:
-    return hashlib.sha256(payload or b"").hexdigest()

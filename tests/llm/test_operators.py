@@ -312,6 +312,41 @@ def test_warc(spark):
     assert warc.read_pages(spark, warc.write_pages(pages.limit(0))).count() == 0
 
 
+def test_warc_passes_over_payloads_without_inflating_them(monkeypatch):
+    """Of unwanted records only the headers are inflated; wanted payloads come whole."""
+    import io
+    import os
+
+    big = os.urandom(300_000).hex().encode()
+    rows = [{"record_id": f"<{i}>", "warc_type": t, "payload": p} for i, (t, p) in enumerate([("response", big), ("revisit", b""), ("response", b"x\r\n\r\ny"), ("metadata", big), ("response", b"")])]
+    data = b"".join(warc.packed(warc.record(r)) for r in rows)
+    assert __import__("gzip").decompress(data) == b"".join(warc.record(r) for r in rows)  # any gzip reader reads it
+    bodies = []
+    made = warc._Inflated
+    monkeypatch.setattr(warc, "_Inflated", lambda *a: bodies.append(made(*a)) or bodies[-1])
+    read = lambda wanted, payload: [(r["record_id"], r.get("payload")) for r in warc.parse_members(io.BytesIO(data), wanted, payload)]
+    assert read(lambda h: True, lambda h: True) == [(r["record_id"], r["payload"]) for r in rows]
+    bodies.clear()
+    assert read(lambda h: h["warc_type"] != "response", lambda h: h["warc_type"] != "metadata") == [("<1>", b""), ("<3>", None)]
+    assert sum(b.inflated for b in bodies) < 5 * 1_200
+    # Members without a length, behind some with one.
+    foreign = data + __import__("gzip").compress(warc.record(rows[2])) + __import__("gzip").compress(warc.record(rows[3]))
+    got = [(r["record_id"], r.get("payload")) for r in warc.parse_members(io.BytesIO(foreign), lambda h: True, lambda h: h["warc_type"] == "response")]
+    assert got[5:] == [("<2>", rows[2]["payload"]), ("<3>", None)]
+
+
+def test_warc_reads_an_archive_once_and_overwrites_safely(spark, tmp_path):
+    place = str(tmp_path / "archive")
+    pages = spark.createDataFrame([(i, "u", "p" * 150 if i % 2 else f"own {i} " * 50) for i in range(40)], "page_id bigint, url string, html string")
+    warc.write_pages(pages, place)
+    plan = warc.read_pages(spark, place)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("BatchScan") == 1
+    assert warc.read_pages(spark, place).groupBy("record_type").count().orderBy("record_type").collect() == [("response", 21), ("revisit", 19)]
+    warc.page_records(pages.limit(3)).write.format("warc").mode("overwrite").save(place)
+    assert warc.read_pages(spark, place).count() == 3
+    assert sum(p.name.startswith("_manifest") for p in (tmp_path / "archive").iterdir()) == 1
+
+
 def test_warc_headers_only_and_foreign_files(spark, tmp_path):
     body = warc.record({"record_id": "<urn:page:1>", "warc_type": "response", "payload": b"a\r\n\r\nWARC/1.1\r\n"}) + warc.record({"warc_type": "metadata", "payload": b""})
     (tmp_path / "x.warc").write_bytes(body)
