@@ -9,15 +9,17 @@ bitmap of fixed size, hits are extended to the longest runs of candidate
 windows, and the distinct runs are joined with the benchmark's windows on
 their words, which makes the result exact.
 
-Nothing is broadcast but the bitmaps (``2 << 20`` bytes each, whatever the
-benchmark's size).  A passage that many documents share becomes one run, which
+Nothing is broadcast but the two bitmaps, whose size follows the benchmark's
+number of windows between 2 and 32 MB each; with more than 30 million windows
+they only pass more candidates.  A passage that many documents share becomes one run, which
 is looked up once; the join back to the documents is an ordinary shuffle join
 whose hot keys Spark splits.
 
 Defined cases: a null or wordless text has no words, hits or items; a null
 item id is ignored; repeated document rows give repeated result rows; repeated
-items count once; an empty benchmark leaves every document clean; other
-columns are not read.
+items count once; an empty benchmark leaves every document clean, and an empty
+table gives an empty result; a very long text is hashed alone, in memory of some
+50 times its size; other columns are not read, so their names may clash.
 """
 
 from __future__ import annotations
@@ -34,13 +36,14 @@ from .textkernel import ALNUM_LOWER, LOWER, U64, Poly, Words, chunks
 WINDOW = 10
 K = 5
 SPAN = WINDOW - K + 1
-BITS = 24
+#: Bits of a bitmap's positions, at least and at most, and bits of a bitmap for each window.
+BITS, MOST_BITS, BITS_EACH = 24, 28, 8
 _POLY, _GRAM = Poly(11), Poly(12)
 
 
 def _salted(grams: np.ndarray, kind: int) -> np.ndarray:
-    """Bit positions in a bitmap; kind tells apart k-grams, windows and short items."""
-    return (grams * U64(2 * kind + 1) + U64(kind)) >> U64(64 - BITS)
+    """Hashes whose high bits are positions in a bitmap; kind tells apart k-grams, windows and short items."""
+    return grams * U64(2 * kind + 1) + U64(kind)
 
 
 def _words(buf: np.ndarray, offsets: np.ndarray) -> Words:
@@ -64,7 +67,7 @@ def _join_words(words: Words, start: int, n: int) -> str:
 
 
 def item_windows(benchmark: DataFrame, id_column: str = "item_id", text_column: str = "text") -> DataFrame:
-    """(item_id, n, phrase, words): every window of every item; its fingerprint and window bits."""
+    """(item_id, n, phrase, words): every window of every item; the hashes of its fingerprints and its own."""
     kind = benchmark.schema[id_column].dataType.simpleString()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -72,7 +75,7 @@ def item_windows(benchmark: DataFrame, id_column: str = "item_id", text_column:
             words = _words(buf, offsets)
             marks, _ = _winnow(words)
             chosen, grams = set(marks.tolist()), words.grams(K, _GRAM)
-            out = {"item": [], "n": [], "phrase": [], "gram_bits": [], "window_bit": []}
+            out = {"item": [], "n": [], "phrase": [], "gram_hashes": [], "window_hash": []}
             for i, item in enumerate(ids.to_pylist()):
                 lo, hi = int(words.bounds[i]), int(words.bounds[i + 1])
                 n = min(WINDOW, hi - lo)
@@ -84,22 +87,29 @@ def item_windows(benchmark: DataFrame, id_column: str = "item_id", text_column:
                     out["item"].append(item)
                     out["n"].append(n)
                     out["phrase"].append(_join_words(words, s, n))
-                    out["gram_bits"].append(_salted(grams[own], 0).astype(np.int64).tolist() if own else [])
-                    out["window_bit"].append(int(_salted(whole[s : s + 1], n)[0]))
-            yield pa.RecordBatch.from_arrays([pa.array(out["item"], ids.type), pa.array(out["n"], pa.int32()), pa.array(out["phrase"], pa.string()), pa.array(out["gram_bits"], pa.list_(pa.int64())), pa.array(out["window_bit"], pa.int64())], names=list(out))
+                    out["gram_hashes"].append(_salted(grams[own], 0).view(np.int64).tolist() if own else [])
+                    out["window_hash"].append(int(_salted(whole[s : s + 1], n).view(np.int64)[0]))
+            yield pa.RecordBatch.from_arrays([pa.array(out["item"], ids.type), pa.array(out["n"], pa.int32()), pa.array(out["phrase"], pa.string()), pa.array(out["gram_hashes"], pa.list_(pa.int64())), pa.array(out["window_hash"], pa.int64())], names=list(out))
 
-    return benchmark.select(id_column, text_column).mapInArrow(run, f"item {kind}, n int, phrase string, gram_bits array<bigint>, window_bit bigint")
+    return benchmark.select(id_column, text_column).mapInArrow(run, f"item {kind}, n int, phrase string, gram_hashes array<bigint>, window_hash bigint")
 
 
-def _bitmap(bits: DataFrame) -> np.ndarray:
-    """Bitmap of fixed size from a column of bit numbers; at most 2**(BITS - 6) rows reach the driver."""
-    rows = bits.select(F.shiftright("bit", 6).alias("at"), F.expr("shiftleft(1L, CAST(bit & 63 AS INT))").alias("b")).groupBy("at").agg(F.bit_or("b").alias("b")).toArrow()
-    out = np.zeros(1 << (BITS - 6), U64)
+def bits_for(windows: int) -> int:
+    """Bits of a position in bitmaps for so many windows."""
+    return min(MOST_BITS, max(BITS, (BITS_EACH * windows).bit_length()))
+
+
+def _bitmap(hashes: DataFrame, bits: int) -> np.ndarray:
+    """Bitmap of ``2**bits`` bits from a column of hashes; at most ``2**(bits - 6)`` rows reach the driver, as Arrow."""
+    bit = hashes.select(F.shiftrightunsigned("hash", 64 - bits).alias("bit"))
+    rows = bit.select(F.shiftright("bit", 6).alias("at"), F.expr("shiftleft(1L, CAST(bit & 63 AS INT))").alias("b")).groupBy("at").agg(F.bit_or("b").alias("b")).toArrow()
+    out = np.zeros(1 << (bits - 6), U64)
     out[rows["at"].to_numpy()] = rows["b"].to_numpy().astype(np.int64).view(U64)
     return out
 
 
-def _has(bitmap: np.ndarray, bits: np.ndarray) -> np.ndarray:
+def _has(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
+    bits = hashes >> U64(64 - (len(bitmap) * 64).bit_length() + 1)
     return (bitmap[(bits >> U64(6)).astype(np.int64)] >> (bits & U64(63))) & U64(1) == 1
 
 
@@ -144,8 +154,9 @@ def candidate_runs(docs: DataFrame, gram_map: np.ndarray, window_map: np.ndarray
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text") -> DataFrame:
     """(id, n_words, n_hit, items array<string>, hits array<struct<first,stop>>) of every document row."""
     bench = cut(item_windows(benchmark), "windows")
-    gram_map = _bitmap(bench.select(F.explode("gram_bits").alias("bit")))
-    window_map = _bitmap(bench.select(F.col("window_bit").alias("bit")))
+    bits = bits_for(bench.count())
+    gram_map = _bitmap(bench.select(F.explode("gram_hashes").alias("hash")), bits)
+    window_map = _bitmap(bench.select(F.col("window_hash").alias("hash")), bits)
     short = sorted(r["n"] for r in bench.where(F.col("n") < WINDOW).select("n").distinct().collect())
 
     found = cut(candidate_runs(docs, gram_map, window_map, short, id_column, text_column).withColumn("_row", F.monotonically_increasing_id()), "runs")
