@@ -78,6 +78,25 @@ def test_simhash_small_tiles(spark):
     assert len({*zip(mine, plain)}) == len({*mine}) == len({*plain})
 
 
+def test_simhash_plan_does_not_grow_with_the_tiles(spark):
+    """What the driver puts into the plan depends on the 65 population counts alone."""
+    rng = random.Random(2)
+    fps = spark.createDataFrame([(rng.getrandbits(64) - (1 << 63),) for _ in range(3000)], "fp bigint")
+    sizes = [len(simhash.links(fps, tile=t)._jdf.queryExecution().optimizedPlan().toString()) for t in (4, 3000)]
+    assert sizes[0] < 1.5 * sizes[1] + 2000
+
+
+def test_winnow_bitmaps_follow_the_benchmark(spark):
+    import numpy as np
+
+    assert [winnow.bits_for(n) for n in (0, 100_000, 5_000_000, 10**9)] == [24, 24, 26, 28]
+    hashes = np.random.default_rng(3).integers(-(2**63), 2**63 - 1, 500)
+    for bits in (24, 26):
+        bitmap = winnow._bitmap(spark.createDataFrame([(int(h),) for h in hashes], "hash bigint"), bits)
+        assert winnow._has(bitmap, hashes.view(np.uint64)).all()
+        assert winnow._has(bitmap, np.random.default_rng(4).integers(0, 2**64, 500, dtype=np.uint64)).sum() < 5
+
+
 def test_components_of_chains_and_hubs(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, i) for i in range(101, 160)] + [(200, 201), (200, 201)]
     roots = {r["node"]: r["root"] for r in simhash.components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
