@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from ..functions import naming, notices as N, text as T
 from ..operators import commands, flow, model_map, pages as P, resume, rollup
-from ..sources import progress as progress_source, tasks as S
+from ..sources import mailbox, progress as progress_source, sinks, tasks as S
 from ..sources.config import ApiConfig, RunConfig
 from ..sources.scratch import scratch
 from ..streaming import commands as streams
@@ -426,3 +426,113 @@ def q38_progress_json(spark, d):
     """Progress through its JSON document and back."""
     some = _progress(spark, d).withColumn("updated", F.lit("2024-01-01 00:00:00").cast("timestamp"))
     return progress_source.from_json(progress_source.to_json(some, "x")).select("task_id", "status", "error", "elapsed")
+
+
+# -- tables, routing, bodies, figures -----------------------------------------
+_GRID = "'| ' || d.source || ' | ' || d.doc_id || ' |' || chr(10) || '|---|---|' || chr(10) || '| ' || d.lang || ' |  |'"
+
+
+@query(f"WITH {_TOC}, tables AS (SELECT p.pdf_id, p.page_no, CASE WHEN d.lang <> 'en' THEN {_GRID} END AS md FROM pages p JOIN documents d ON p.doc_id = d.doc_id) SELECT t.pdf_id, t.num, CAST(count(md) AS INTEGER) AS n_pages, coalesce(string_agg(md, chr(10) || chr(10) ORDER BY x.page_no), '') AS text FROM toc t LEFT JOIN tables x ON x.pdf_id = t.pdf_id AND x.page_no BETWEEN t.start_page AND t.end_page GROUP BY t.pdf_id, t.num")
+def q39_range_tables(spark, d):
+    """A table on every page, empty on English ones, put together by page range."""
+    pages = _pages(spark, d).select("pdf_id", "page_no", "doc_id").join(_t(spark, d, "documents").select("doc_id", "lang"), "doc_id")
+    grid = F.array(F.array(F.col("pdf_id"), F.col("doc_id").cast("string")), F.array(F.col("lang"), F.lit(None).cast("string")))
+    tables = pages.select("pdf_id", "page_no", F.lit(0).alias("table_ix"), F.when(F.col("lang") != "en", grid).otherwise(F.array().cast("array<array<string>>")).alias("rows"))
+    return P.range_tables(_toc(spark, d), tables, ["pdf_id", "num"])
+
+
+_MESSAGE = _strip("coalesce(json_extract_string(content, '$.text'), '')")
+_CLASSIFIED = "CASE " + " ".join(f"WHEN contains(message, '{w}') THEN '{a}'" for w, a in N.CHINESE_ACTIONS) + " ELSE 'custom' END"
+
+
+@query(f"""WITH e AS (SELECT conv_id, turn, CASE turn % 3 WHEN 0 THEN 'card' WHEN 1 THEN 'text' ELSE 'image' END AS kind, CASE WHEN turn % 5 = 1 THEN '{{"x":1}}' ELSE json_object('text', '  ' || text || CASE WHEN conv_id % 2 = 0 THEN ' 请重试' ELSE '' END || ' ') END AS content, CASE WHEN conv_id % 4 = 0 THEN 'pause' END AS action, CASE WHEN conv_id % 3 = 0 THEN 'L' || turn END AS label FROM conversations),
+m AS (SELECT *, {_MESSAGE} AS message FROM e)
+SELECT CAST(conv_id AS VARCHAR) AS user_id, turn AS at_turn, CASE WHEN kind = 'card' THEN coalesce(action, 'confirm') ELSE {_CLASSIFIED} END AS action, CASE WHEN kind = 'card' THEN coalesce(label, action, 'confirm') ELSE message END AS value FROM m WHERE kind = 'card' OR (kind = 'text' AND message <> '')""")
+def q40_mailbox_events(spark, d):
+    """Chat events to commands: cards carry an action, texts are classified, empty texts and other kinds go."""
+    body = F.to_json(F.struct(F.concat(F.lit("  "), "text", F.when(F.col("conv_id") % 2 == 0, " 请重试").otherwise(""), F.lit(" ")).alias("text")))
+    events = _t(spark, d, "conversations").select(
+        F.when(F.col("turn") % 3 == 0, "card").when(F.col("turn") % 3 == 1, "text").otherwise("image").alias("kind"),
+        F.when(F.col("turn") % 5 == 1, F.lit('{"x":1}')).otherwise(body).alias("content"),
+        F.when(F.col("conv_id") % 4 == 0, "pause").alias("action"),
+        F.when(F.col("conv_id") % 3 == 0, F.concat(F.lit("L"), F.col("turn").cast("string"))).alias("label"),
+        F.lit(None).cast("string").alias("open_id"), F.col("conv_id").cast("string").alias("user_id"), F.col("turn").alias("time"),
+    )
+    return mailbox.from_events(events).select("user_id", F.col("time").alias("at_turn"), "action", "value")
+
+
+_KINDS = {"en": "interp", "de": "table", "fr": "evidence_sub", "es": "evidence"}
+_TYPE = "CASE lang " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _KINDS.items()) + " ELSE 'custom' END"
+
+
+def _typed(spark, d) -> DataFrame:
+    """Documents as tasks of a type by language, with the columns that routing and names use."""
+    of = F.create_map(*[F.lit(x) for p in _KINDS.items() for x in p])
+    docs = _t(spark, d, "documents").select(F.col("doc_id").cast("string").alias("task_id"), F.col("doc_id").alias("ord"), F.coalesce(of[F.col("lang")], F.lit("custom")).alias("type"), "text", "lang", "source", "doc_id")
+    return (
+        docs.withColumn("num", F.col("task_id")).withColumn("title", F.concat(F.lit("T/"), "source")).withColumn("next_num", F.when(F.col("doc_id") % 2 == 0, (F.col("doc_id") + 1).cast("string")))
+        .withColumn("evidence", F.col("source")).withColumn("yaodian_name", F.concat(F.lit("N"), "task_id")).withColumn("point", F.lit(None).cast("string"))
+        .withColumn("sub_item", F.when(F.col("doc_id") % 3 != 0, F.lit("s"))).withColumn("sub_name", F.when(F.col("doc_id") % 3 != 0, F.concat(F.lit("S"), "source")))
+        .withColumn("label", F.col("source")).withColumn("meta", F.create_map(F.lit("lang"), "lang")).withColumn("missing", F.when((F.col("type") == "evidence") & (F.col("doc_id") % 4 == 0), F.lit("no pages")))
+    )
+
+
+_ROUTES = f"""WITH c AS ({_truncate_sql(20000)}),
+x AS (SELECT d.doc_id, {_TYPE} AS type, d.text, cut_text, source FROM documents d JOIN c ON c.doc_id = d.doc_id),
+t AS (SELECT *, CASE WHEN doc_id % 3 <> 0 THEN '(S' || source || ')' ELSE '(N' || doc_id || ')' END AS target FROM x)
+SELECT CAST(doc_id AS VARCHAR) AS task_id, CASE WHEN type = 'evidence' AND doc_id % 4 = 0 THEN 'error' WHEN type = 'interp' AND length(text) < 20 THEN 'empty' WHEN type = 'table' THEN 'raw' ELSE 'model' END AS route, CASE type WHEN 'interp' THEN 'titles' WHEN 'evidence' THEN 'titled' WHEN 'evidence_sub' THEN 'titled' ELSE 'plain' END AS kind,
+md5(CASE type WHEN 'interp' THEN '以下文本取自第' || doc_id || '条（T/' || source || '）至第' || CASE WHEN doc_id % 2 = 0 THEN CAST(doc_id + 1 AS VARCHAR) ELSE '?' END || '条之间。' || chr(10) || '请逐行列出其中全部司法文件的标题及文号，每行以序号开头；没有则只写：{T.NO_TITLES}' || chr(10) || chr(10) || cut_text
+WHEN 'table' THEN '' WHEN 'custom' THEN '' ELSE '请从下面的正文中找出与' || target || '有关的段落，将审查规则归纳为连续的文字，不列序号，不收法规索引。' || chr(10) || chr(10) || text END) AS prompt_md5 FROM t"""
+
+
+@query(_ROUTES)
+def q41_routes(spark, d):
+    """Route, kind and default prompt by task type."""
+    return R.routed(_typed(spark, d), RunConfig()).select("task_id", "route", "kind", F.md5("prompt").alias("prompt_md5"))
+
+
+_BODIES = f"""WITH t AS (SELECT doc_id, {_TYPE} AS type, text, source FROM documents),
+n AS (SELECT *, CASE type WHEN 'interp' THEN '第' || doc_id || '条【' || left({_safe("'T/' || source")}, 50) || '】司法解释' WHEN 'evidence' THEN '证据分析【' || source || '】N' || doc_id || CASE WHEN doc_id % 3 <> 0 THEN '（S' || source || '）' ELSE '' END
+WHEN 'evidence_sub' THEN '证据分析【' || source || '】N' || doc_id || CASE WHEN doc_id % 3 <> 0 THEN '（S' || source || '）' ELSE '' END ELSE CAST(doc_id AS VARCHAR) END AS name FROM t)
+SELECT CAST(doc_id AS VARCHAR) AS task_id, name || '.md' AS file, CASE WHEN type = 'interp' AND text = '' THEN '{T.TITLE_HEAD}' || chr(10) || '{T.NO_TITLES}' || chr(10) WHEN type = 'interp' THEN '{T.TITLE_HEAD}' || chr(10) || array_to_string(list_transform(string_split(text, chr(10)), lambda y, i: i || '. ' || y || chr(10)), '') WHEN type IN ('evidence', 'evidence_sub') THEN name || '：' || chr(10) || text ELSE text END AS body FROM n"""
+
+
+@query(_BODIES)
+def q42_output_bodies(spark, d):
+    """Default file names and the texts of output files: title lists, titled and plain."""
+    kind = F.when(F.col("type") == "interp", "titles").when(F.col("type").isin("evidence", "evidence_sub"), "titled").otherwise("plain")
+    titles = F.when(F.col("text") == "", F.array().cast("array<string>")).otherwise(F.split("text", "\n", -1))
+    named = naming.output_names(_typed(spark, d), suffix=R.INTERP_SUFFIX)
+    return sinks.with_content(named.withColumn("kind", kind).withColumn("titles", titles).withColumn("content", F.col("text"))).select("task_id", "file", "body")
+
+
+@query(f"SELECT event_id, printf('%.1f', event_id % 160 * 0.0625) AS one_digit, {_US} // 1000 AS key_ms, CASE WHEN event_type = 'error' THEN '严重' ELSE '警告' END AS level, CASE WHEN event_type = 'error' THEN 'red' ELSE 'orange' END AS colour FROM events")
+def q43_figures(spark, d):
+    """Numbers with one digit (ties to even), keys from times, and levels of alerts."""
+    critical = F.col("event_type") == "error"
+    return _events(spark, d).select("event_id", N.one_decimal(F.col("event_id") % 160 * 0.0625).alias("one_digit"), N.epoch_key(F.timestamp_micros("us")).alias("key_ms"), N.alert_level(critical).alias("level"), N.alert_colour(critical).alias("colour"))
+
+
+@query(f"WITH {_PAGES} SELECT pdf_id AS grp, coalesce(string_agg(nullif(text, ''), chr(10) ORDER BY page_no), '') AS text FROM pages WHERE page_no BETWEEN 2 AND 30 GROUP BY pdf_id")
+def q44_group_text(spark, d):
+    """Each group's pages put together once."""
+    pages = _pages(spark, d).drop("doc_id")
+    ranges = pages.where("page_no >= 2").select("pdf_id").distinct().select("pdf_id", F.col("pdf_id").alias("grp"), F.lit(2).alias("start_page"), F.lit(30).alias("end_page"))
+    return P.group_text(ranges, pages)
+
+
+@query(f"WITH {_PROGRESS}, fresh AS (SELECT CAST(doc_id AS VARCHAR) AS task_id FROM documents WHERE lang = 'de') SELECT coalesce(f.task_id, p.task_id) AS task_id, CASE WHEN f.task_id IS NOT NULL THEN 'success' ELSE p.status END AS status FROM progress p FULL JOIN fresh f ON p.task_id = f.task_id")
+def q45_progress_versions(spark, d):
+    """Progress is saved, loaded, put together with new results, saved as a new version and loaded again."""
+    place = scratch(spark, "progress")
+    progress_source.save(_progress(spark, d).withColumn("updated", F.lit(None).cast("timestamp")), place)
+    fresh = _t(spark, d, "documents").where("lang = 'de'").select(F.col("doc_id").cast("string").alias("task_id"), F.lit("success").alias("status"), F.lit(None).cast("string").alias("error"), F.lit(1.0).alias("elapsed"), F.lit(None).cast("timestamp").alias("updated"))
+    progress_source.save(resume.upsert(progress_source.load(spark, place), fresh), place)
+    return progress_source.load(spark, place).select("task_id", "status")
+
+
+@query("SELECT doc_id, md5(text) AS joined_md5, true AS fits FROM documents")
+def q46_chunks(spark, d):
+    """Whole texts in pieces of at most 3,000 characters: the pieces make the text again."""
+    cut = _t(spark, d, "documents").select("doc_id", T.text_chunks("text", 3000).alias("c"))
+    return cut.select("doc_id", F.md5(F.array_join("c", "")).alias("joined_md5"), (F.array_max(F.transform("c", F.length)) <= 3000).alias("fits"))
