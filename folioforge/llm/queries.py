@@ -26,7 +26,7 @@ def _compact(digests: DataFrame) -> DataFrame:
 
 
 def op1_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return _compact(quality.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")))
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,7 +65,7 @@ def op8_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+    return _compact(toxicity.classify(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels")))
 
 
 def op10_token_store(spark: SparkSession, sf_dir: str) -> DataFrame:

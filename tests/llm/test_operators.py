@@ -444,3 +444,35 @@ def test_substring_hot_block_costs_an_entry_a_home():
 def test_home_bytes():
     assert substring.home_bytes(1 << 30) == 8 << 20 and substring.home_bytes(100 << 40) == 64 << 20
     assert substring.home_bytes(10**6, 500) >= 500
+
+
+def test_texts_longer_than_a_chunk(spark):
+    """One text of some 2.5 MB beside small ones, through every operator on documents."""
+    import zlib
+
+    import numpy as np
+
+    from folioforge.llm import quality, toxicity
+
+    rng = random.Random(12)
+    words = ["".join(rng.choice("abcdefghijklmnoprstuvé") for _ in range(rng.randint(2, 9))) for _ in range(20_000)]
+    line = lambda n: " ".join(rng.choice(words) for _ in range(n))
+    passage, item = line(60), line(12)
+    long = "\n".join(line(25) for _ in range(15_000)) + "\n" + passage + "\n" + item
+    rows = [(1, line(50)), (2, passage), (3, long), (4, line(30) + " " + item), (5, None), (6, line(9) + "\n" + long[:3000])]
+    assert len(long) > 2_300_000
+    df = frame(spark, rows, extra=False)
+    same(substring.remove_repeats(df), ["doc_id", "n_words", "n_removed", "kept_text"], brute.remove_repeats(rows))
+    same(linededup.dedup_lines(df), ["doc_id", "n_lines", "n_dropped", "text"], brute.dedup_lines(rows))
+    items = [(1, item)]
+    same(winnow.decontaminate(df, spark.createDataFrame(items, "item_id bigint, text string")), ["doc_id", "n_words", "n_hit", "items"], brute.decontaminate(rows, items))
+    same(simhash.near_duplicates(df), ["doc_id", "fp", "component_id"], unsigned(brute.near_duplicates(rows)))
+    t = hf()
+    ids = {d: t.encode(x or "", add_special_tokens=False).ids for d, x in rows}
+    same(bpe.digest_documents(df, queries.tokenizer_path()), ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"], [(d, len(x), brute.sha(" ".join(map(str, x))), brute.sha(t.decode(x, skip_special_tokens=False))) for d, x in ids.items()])
+    out = token_store.read_tokens(spark, token_store.write_tokens(df, queries.tokenizer_path(), file_bytes=1 << 20))
+    same(out.withColumn("c", token_store.ids_crc32("ids")), ["doc_id", "n_tokens", "c"], [(d, len(x) + 1, zlib.crc32(np.array([*x, 2], "<u4").tobytes())) for d, x in ids.items()])
+    for module, column in ((quality, "quality"), (toxicity, "toxic")):
+        labels = spark.createDataFrame([(1, 0), (2, 1), (3, 1), (4, 0), (6, 1)], f"doc_id bigint, {column} int")
+        scores = module.classify(df, labels).select("score").collect()
+        assert len(scores) == len(rows) and all(0 <= r["score"] <= 1 for r in scores)
