@@ -23,7 +23,8 @@ def wait_for_reply(commands: DataFrame, key: str, time: str, t0: float, timeout:
 
     ``time`` is event time in seconds.  State for a key is one flag: a key that
     has answered stays silent.  There is no processing-time timer, which would
-    keep a drained query running for ever.
+    keep a drained query running for ever.  ``newest_reply`` lets a newer
+    unexpected command hide an earlier expected one, as a look into the mailbox does.
     """
 
     def run(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
@@ -42,6 +43,32 @@ def wait_for_reply(commands: DataFrame, key: str, time: str, t0: float, timeout:
     return commands.groupBy(key).applyInPandasWithState(run, f"{key} {kind}, action string, replied double", "answered boolean", "append", GroupStateTimeout.NoTimeout)
 
 
+def newest_reply(commands: DataFrame, key: str, time: str, t0: float, timeout: float, expected: list[str] | None = None) -> DataFrame:
+    """(key, action, replied): the reply after ``t0`` within the timeout; a key that has answered stays silent.
+
+    A batch is a look into the mailbox: only the newest command so far counts,
+    so an unexpected one hides earlier ones, and a later expected one still
+    answers.  ``time`` is event time in seconds.  State for a key is a flag and
+    the time of its newest command.  There is no processing-time timer, which
+    would keep a drained query running for ever.
+    """
+
+    def run(k: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        rows = pd.concat(list(frames))
+        answered, newest = state.get if state.exists else (False, float("-inf"))
+        rows = rows[(rows[time] > t0) & (rows[time] < t0 + timeout) & (rows[time] > newest)]
+        if answered or not len(rows):
+            return
+        last = rows.sort_values(time, kind="stable").iloc[-1]
+        answered = expected is None or last["action"] in expected
+        state.update((bool(answered), float(last[time])))
+        if answered:
+            yield pd.DataFrame({key: [k[0]], "action": [last["action"]], "replied": [float(last[time])]})
+
+    kind = commands.schema[key].dataType.simpleString()
+    return commands.groupBy(key).applyInPandasWithState(run, f"{key} {kind}, action string, replied double", "answered boolean, newest double", "append", GroupStateTimeout.NoTimeout)
+
+
 def throttle(steps: DataFrame, key: str, every: int, seconds: float) -> DataFrame:
     """steps (key, current, total, at) to those a notice is sent for; state is the time of the last one."""
 
