@@ -460,8 +460,9 @@ def test_newest_command_hides_earlier_ones_in_a_stream(spark, tmp_path):
     """Each file is one look: the newest command decides, a later look may still answer."""
     schema = "user string, action string, time double"
     looks = [[("a", "confirm", 2.0), ("a", "pause", 3.0), ("b", "confirm", 2.0), ("b", "retry", 4.0), ("c", "pause", 5.0)], [("a", "confirm", 2.5), ("b", "cancel", 6.0), ("c", "retry", 6.0)], [("a", "retry", 7.0), ("c", "confirm", 8.0), ("a", "confirm", 50.0)]]
+    (tmp_path / "in").mkdir()
     stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
-    for i, rows_of in enumerate(looks):
+    for rows_of in looks:
         spark.createDataFrame(rows_of, schema).coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
         streams.drain(streams.newest_reply(stream, "user", "time", 1.0, 20.0, ["confirm", "retry"]), str(tmp_path / "s"), str(tmp_path / "o"))
     got = sorted(map(tuple, spark.read.parquet(str(tmp_path / "o")).collect()))
