@@ -18,16 +18,24 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from folioforge.llm import bpe, linededup, simhash, toxicity, winnow
-from folioforge.llm.common import cut, cut_at, drop_path
+from folioforge.llm.common import cut_at, drop_path
 from folioforge.llm.queries import tokenizer_path
 
 #: No DuckDB SQL: the classifier, XXH64 with a seed and BPE are not expressible in it.
 ORACLE_SQL = None
 
 
+def _digest():
+    return F.md5(F.coalesce("text", F.lit("")))
+
+
+def _key(doc_id, digest):
+    return F.concat_ws(" ", doc_id.cast("string"), digest)
+
+
 def _keyed(docs: DataFrame) -> DataFrame:
     """With a key that only rows of the same id and text share."""
-    return docs.withColumn("__key", F.concat_ws(" ", F.col("doc_id").cast("string"), F.md5(F.coalesce("text", F.lit("")))))
+    return docs.withColumn("__key", _key(F.col("doc_id"), _digest()))
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -52,13 +60,12 @@ def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     any of them, since those have the same text.  Rows with one id and texts
     that are no near copies are different documents, and each stays.
     """
-    # Row numbers are fixed by writing them down.
-    rows = cut(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
-    near = simhash.near_duplicates(rows, "__row").select("__row", "component_id")
-    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", F.md5(F.coalesce("text", F.lit(""))).alias("digest"), "__row")
-    ranked = near.join(rows.select("__row", rank.alias("rank")).hint("merge"), "__row")
-    kept = ranked.groupBy("component_id").agg(F.min("rank")["__row"].alias("__row")).select("__row")
-    return rows.join(kept.hint("merge"), "__row", "left_semi").select(docs.columns)
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", _digest().alias("digest"))
+    near = simhash.near_duplicates(docs.select(rank.alias("rank"), "text"), "rank")
+    first = near.where(F.col("rank").eqNullSafe(F.col("component_id")))
+    kept = first.select(_key(F.col("rank.doc_id"), F.col("rank.digest")).alias("__key")).distinct()
+    # Rows with one key are alike; the join has brought them together.
+    return _keyed(docs).join(kept.hint("merge"), "__key", "left_semi").dropDuplicates(["__key"]).select(docs.columns)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
