@@ -57,7 +57,7 @@ def smart_truncate(c: Column | str, limit: int) -> Column:
 
 
 def text_chunks(c: Column | str, limit: int) -> Column:
-    """The whole text in pieces of at most ``limit`` characters, each cut like ``smart_truncate``."""
+    """The whole text in pieces of at most ``limit`` characters, each cut like ``smart_truncate``; no pieces of an empty text, null of null."""
     text = _col(c)
     least = max(1, limit - SEARCH_WINDOW)  # a piece is no shorter, unless the limit is below the window
     begin = F.struct(text.alias("rest"), F.array().cast("array<string>").alias("out"))
@@ -67,7 +67,7 @@ def text_chunks(c: Column | str, limit: int) -> Column:
         return F.when(s["rest"] == "", s).otherwise(F.struct(F.substring(s["rest"], F.length(piece) + 1, F.length(s["rest"])).alias("rest"), F.concat(s["out"], F.array(piece)).alias("out")))
 
     steps = F.sequence(F.lit(1), F.greatest(F.lit(1), F.ceil(F.length(text) / least).cast("int")))
-    return F.aggregate(steps, begin, step, lambda s: s["out"])
+    return F.when(text.isNotNull(), F.aggregate(steps, begin, step, lambda s: s["out"]))
 
 
 def fill(template: Column | str, *pairs: tuple[str, Column]) -> Column:

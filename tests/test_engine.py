@@ -503,6 +503,16 @@ def test_catalogue(spark, name):
     assert got == sorted((tuple(plain(r[c]) for c in columns) for r in table.to_pylist()), key=repr)
 
 
+def test_chunks_of_odd_texts(spark, tmp_path):
+    duckdb = pytest.importorskip("duckdb")
+    texts = [None, "", " ", "\n" * 3001, "a" * 3000, "b" * 3001, "c" * 2500 + "\n" + "\U0001f600" * 9000, None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").coalesce(1).write.parquet(str(tmp_path / "documents.parquet"))
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW documents AS SELECT * FROM read_parquet('{tmp_path}/documents.parquet/*.parquet')")
+    want = con.sql(catalogue.ORACLES["q46_chunks"]).fetchall()
+    assert sorted(rows(catalogue.QUERIES["q46_chunks"](spark, str(tmp_path)), "doc_id", "joined_md5", "fits")) == sorted(want)
+
+
 def test_entry(spark):
     import __spark_entry__ as entry
 

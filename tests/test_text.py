@@ -147,3 +147,8 @@ def test_chunks(spark):
         got = one(spark, T.text_chunks(F.lit(text), limit))
         assert "".join(got) == text and max(map(len, got)) <= limit
     assert one(spark, T.text_chunks(F.lit(""), 600)) == []
+
+
+def test_chunks_of_null(spark):
+    got = spark.createDataFrame([(1, None), (2, ""), (3, "a")], "n int, t string").select("n", T.text_chunks("t", 600).alias("c")).collect()
+    assert {r["n"]: r["c"] for r in got} == {1: None, 2: [], 3: ["a"]}
